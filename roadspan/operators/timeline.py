@@ -111,9 +111,20 @@ class Timeline:
         return Window.partitionBy(*group).orderBy(*self.order)
 
     def frame(
-        self, before: int, after: int, columns: Callable[[WindowSpec], dict[str, Column]]
+        self,
+        before: int,
+        after: int,
+        columns: Callable[[WindowSpec], dict[str, Column]],
+        within: str | None = None,
     ) -> Timeline:
-        """Add window columns that look at most ``before`` rows back and ``after`` ahead."""
+        """Add window columns that look at most ``before`` rows back and ``after`` ahead.
+
+        With ``within``, rows see only rows that agree in that column.
+        """
+        if within is not None:
+            finer = self._with(self._df)
+            finer.keys = [*self.keys, within]
+            return self._with(finer.frame(before, after, columns)._df)
         if not self.sliced:
             return self._with(self._df.withColumns(columns(self._window())))
         rows = self._df.withColumn("_halo", F.lit(False))

@@ -103,6 +103,77 @@ GROUP BY thing_id, alert_degre_id, event_id, point_id, date_id""",
     "vehicle_daily_history": vehicle_day("steps_history"),
 }
 
+# --- live state ---------------------------------------------------------------------------
+
+
+def states(source: str, keys: str) -> str:
+    w = f"(PARTITION BY {keys} ORDER BY trace_date, trace_id)"
+    gap = f"date_diff('second', lag(trace_date) OVER {w}, trace_date)"
+    step = haversine(
+        f"lag(latitude) OVER {w}", f"lag(longitude) OVER {w}", "latitude", "longitude", EARTH_RADIUS_KM
+    )
+    w_run = w[:-1] + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""
+SELECT *, list_reduce(list(CAST(speed AS DOUBLE)) OVER {w_run}, lambda a, x: (a + x) / 2) AS avg_speed,
+  max(speed) OVER {w_run} AS max_speed,
+  CAST(sum(idle) OVER {w_run} AS BIGINT) AS idle_time,
+  CAST(sum(active) OVER {w_run} AS BIGINT) AS active_time,
+  first_value(fuel_liters) OVER {w} + CAST(0.019 AS DOUBLE) * (row_number() OVER {w} - 1) AS fuel,
+  sum(step) OVER {w_run} AS traveled_distance
+FROM (SELECT *, CASE WHEN engine_status = 0 THEN coalesce({gap}, 0) ELSE 0 END AS idle,
+  CASE WHEN engine_status = 1 THEN coalesce({gap}, 0) ELSE 0 END AS active,
+  coalesce({step}, 0) AS step FROM {source})"""
+
+
+def newest(source: str, keys: str, order: str = "trace_date DESC, trace_id DESC") -> str:
+    return f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS newest_rank
+FROM {source}) WHERE newest_rank = 1"""
+
+
+CTES |= {
+    "states": states("trace_src", "thing_id"),
+    "day_states": states("trace_today", "thing_id, trace_date_day"),
+    "live_state": newest("states", "thing_id"),
+    "live_day_state": newest("day_states", "thing_id, trace_date_day"),
+    "rolling_stats": """
+SELECT thing_id, trace_date, trace_id, """
+    + ", ".join(
+        f"{f}({c}) OVER w AS {n}_{suffix}"
+        for n, c in (("oil", "oil_value"), ("fuel", "fuel_liters"))
+        for f, suffix in (
+            ("avg", "rolling_mean"),
+            ("stddev_samp", "rolling_stddev"),
+            ("sum", "cumsum"),
+            ("min", "min"),
+            ("max", "max"),
+        )
+    )
+    + """, trace_date_day
+FROM trace_src
+WINDOW w AS (PARTITION BY thing_id ORDER BY trace_date, trace_id ROWS BETWEEN 30 PRECEDING AND CURRENT ROW)""",
+    "stored_stats": newest(
+        f"(SELECT * FROM rolling_stats WHERE trace_date_day < {AS_OF_SQL})", "thing_id"
+    ),
+    "stored_speed": newest(f"(SELECT * FROM trace_src WHERE trace_date_day < {AS_OF_SQL})", "thing_id"),
+    "placed_alerts": """
+SELECT a.*, coalesce(g.town, 'default') AS town, coalesce(g.state, 'default') AS state,
+  coalesce(g.country, 'default') AS country
+FROM alert_src a LEFT JOIN gazetteer g ON a.latitude >= g.south AND a.latitude < g.north
+  AND a.longitude >= g.west AND a.longitude < g.east""",
+    "counted_alerts": """
+SELECT *, alert_degre_id AS type_id, thing_id AS user_id, row_number() OVER (
+  PARTITION BY alert_degre_id, event_id, thing_id ORDER BY alert_time, alert_id) AS alert_number
+FROM placed_alerts""",
+    "live_alerts": newest(
+        f"(SELECT *, alert_degre_id AS type_id, thing_id AS user_id, row_number() OVER (PARTITION BY "
+        f"alert_degre_id, event_id, thing_id ORDER BY alert_time, alert_id) AS alert_number "
+        f"FROM placed_alerts WHERE alert_day = {AS_OF_SQL})",
+        "type_id, event_id, user_id",
+        "alert_time DESC, alert_id DESC",
+    ),
+}
+
 
 def with_ctes(sql: str) -> str:
     """Prefix the query with the common table expressions it needs, in order."""
