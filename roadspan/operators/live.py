@@ -149,8 +149,13 @@ STATE_COLUMNS = [
 ]
 
 
-def vehicle_state(events: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """The newest state of each key, with position, status and date attributes."""
+def vehicle_state(
+    events: DataFrame, keys: list[str] | None = None, also: tuple[str, ...] = ()
+) -> DataFrame:
+    """The newest state of each key, with position, status and date attributes.
+
+    ``also`` names further event columns to carry from the newest event.
+    """
     keys = keys or ["thing_id"]
     states = vehicle_states(events, keys).select(
         *keys,
@@ -159,7 +164,7 @@ def vehicle_state(events: DataFrame, keys: list[str] | None = None) -> DataFrame
         "latitude",
         "longitude",
         "engine_status",
-        *[c for c in ("trace_date_day",) if c not in keys],
+        *also,
     )
     newest = latest_by_key(states, keys, EVENT_ORDER)
     return with_date_attributes(newest, F.to_date("trace_date"), quarter_as_text=False)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadspan.plans import live_queries, registry, warehouse  # noqa: F401
+from roadspan.plans import kpi_queries, live_queries, registry, warehouse  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -83,6 +83,10 @@ JOIN thing_group g ON t.thing_group_id = g.thing_group_id""",
 SELECT *, CASE WHEN traveled_distance > 100 THEN 9 + draw * 3 ELSE 3 + draw * 4 END AS fuel FROM (
   SELECT *, CAST((thing_id * 31 + date_id * 17) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS draw
   FROM vehicle_daily)""",
+    "vehicle_fuel_history": """
+SELECT *, CASE WHEN traveled_distance > 100 THEN 9 + draw * 3 ELSE 3 + draw * 4 END AS fuel FROM (
+  SELECT *, CAST((thing_id * 31 + date_id * 17) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS draw
+  FROM vehicle_daily_history)""",
     "vehicle_daily_clean": vehicle_day("steps_clean"),
     "vehicle_daily_after": vehicle_day("steps_after"),
     "alert_counted": """
@@ -136,6 +140,10 @@ CTES |= {
     "day_states": states("trace_today", "thing_id, trace_date_day"),
     "live_state": newest("states", "thing_id"),
     "live_day_state": newest("day_states", "thing_id, trace_date_day"),
+    "live_rows": """
+SELECT thing_id, trace_date_day AS full_date, idle_time / CAST(3600 AS DOUBLE) AS idle_time,
+  active_time / CAST(3600 AS DOUBLE) AS active_time, traveled_distance, avg_speed,
+  CAST(max_speed AS DOUBLE) AS max_speed, fuel FROM live_day_state""",
     "rolling_stats": """
 SELECT thing_id, trace_date, trace_id, """
     + ", ".join(
