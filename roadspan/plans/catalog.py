@@ -6,7 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadspan.plans import kpi_queries, live_queries, registry, warehouse  # noqa: F401
+from roadspan.plans import (  # noqa: F401
+    journey_queries,
+    kpi_queries,
+    live_queries,
+    registry,
+    warehouse,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -182,6 +182,82 @@ FROM placed_alerts""",
     ),
 }
 
+# --- journeys -------------------------------------------------------------------------------
+
+JW = f"(PARTITION BY thing_id {ORDERED}, journey NULLS FIRST, speed NULLS FIRST)"
+
+
+def greedy(points: str, keep: str) -> str:
+    """Fold over a list of points; ``keep`` uses {d} for the distance to the last kept one."""
+    distance = haversine("acc[-1].lat", "acc[-1].lon", "q[1].lat", "q[1].lon", EARTH_RADIUS_KM)
+    return (
+        f"list_reduce(list_transform({points}[2:], lambda q: [q]), lambda acc, q: "
+        f"CASE WHEN {keep.format(d=distance)} THEN acc || q ELSE acc END, {points}[1:1])"
+    )
+
+
+def place_name(lat: str, lon: str) -> str:
+    box = f"g.south <= {lat} AND {lat} < g.north AND g.west <= {lon} AND {lon} < g.east"
+    return (
+        f"coalesce((SELECT concat(g.town, ', ', g.state, ', ', g.country) FROM gazetteer g "
+        f"WHERE {box}), 'default, default, default')"
+    )
+
+
+CTES |= {
+    "jsource": """
+SELECT DISTINCT thing_id, date_id, trace_date, engine_status, latitude, longitude, journey, speed
+FROM trace_week t JOIN date_dim d ON t.trace_date_day = d.full_date""",
+    "jrows": f"""
+SELECT *, coalesce(prev_engine_status = 0 AND engine_status = 1, false) AS rise,
+  coalesce(prev_engine_status = 1 AND engine_status = 0, false) AS fall
+FROM (SELECT *, lag(engine_status) OVER {JW} AS prev_engine_status, row_number() OVER {JW} AS pos
+      FROM jsource)""",
+    "jedges": """
+SELECT *, lead(fall) OVER w AS closed, lead(trace_date) OVER w AS end_time,
+  lead(journey) OVER w AS end_journey, lead(pos) OVER w AS end_pos, lead(date_id) OVER w AS end_date_id,
+  lead(latitude) OVER w AS end_latitude, lead(longitude) OVER w AS end_longitude
+FROM jrows WHERE rise OR fall WINDOW w AS (PARTITION BY thing_id ORDER BY pos)""",
+    "jstarts": """
+SELECT *, row_number() OVER (ORDER BY thing_id, pos) AS journey_id,
+  row_number() OVER (PARTITION BY thing_id ORDER BY pos) AS segment
+FROM jedges WHERE rise""",
+    "jclosed": "SELECT * FROM jstarts WHERE closed AND journey IS NOT NULL",
+    "jpoints": """
+SELECT j.journey_id, r.pos - j.pos AS seq, r.latitude, r.longitude
+FROM jclosed j JOIN jrows r ON j.thing_id = r.thing_id AND r.pos BETWEEN j.pos AND j.end_pos""",
+    "jpaths": """
+SELECT journey_id, CAST(count(*) AS INT) AS n_points,
+  string_agg(printf('%.6f,%.6f', latitude, longitude), ';' ORDER BY seq) AS path
+FROM jpoints GROUP BY journey_id""",
+    "jspeeds": """
+SELECT j.journey_id, avg(CAST(t.speed AS DOUBLE)) AS avg_speed, CAST(max(t.speed) AS DOUBLE) AS max_speed
+FROM jclosed j JOIN trace_week t ON j.thing_id = t.thing_id
+  AND t.trace_date >= j.trace_date AND t.trace_date <= j.end_time GROUP BY j.journey_id""",
+    "jdim": f"""
+SELECT j.journey_id, {place_name("j.latitude", "j.longitude")} AS start_point,
+  {place_name("j.end_latitude", "j.end_longitude")} AS end_point,
+  j.trace_date AS start_time, j.end_time, CAST(0 AS BIGINT) AS part, p.path, p.n_points
+FROM jclosed j JOIN jpaths p ON j.journey_id = p.journey_id""",
+    "jfact": """
+SELECT j.journey_id, j.thing_id, j.end_journey - j.journey AS traveled_distance,
+  CAST(0 AS DOUBLE) AS idle_time,
+  date_diff('second', j.trace_date, j.end_time) / CAST(60 AS DOUBLE) AS active_time,
+  s.avg_speed, s.max_speed, j.end_date_id AS date_id
+FROM jclosed j JOIN jspeeds s ON j.journey_id = s.journey_id""",
+    "thing_points": """
+SELECT thing_id, list({'seq': seq, 'lat': latitude, 'lon': longitude} ORDER BY seq) AS p
+FROM (SELECT *, row_number() OVER (PARTITION BY thing_id ORDER BY trace_date, trace_id) - 1 AS seq
+      FROM trace_week) GROUP BY thing_id""",
+    "thing_dense": f"SELECT thing_id, {greedy('p', '{d} >= 0.01')} AS p FROM thing_points",
+    "thing_clean": f"SELECT thing_id, {greedy('p', '{d} <= 1.0')} AS p FROM thing_dense",
+    "journey_texts": """
+SELECT journey_id, list({'seq': seq, 'lat': CAST(printf('%.6f', latitude) AS DOUBLE),
+  'lon': CAST(printf('%.6f', longitude) AS DOUBLE)} ORDER BY seq) AS p FROM jpoints GROUP BY journey_id""",
+    "journey_dense": f"SELECT journey_id, {greedy('p', '{d} >= 0.01')} AS p FROM journey_texts",
+    "journey_cleaned": f"SELECT journey_id, {greedy('p', '{d} <= 1.0')} AS p FROM journey_dense",
+}
+
 
 def with_ctes(sql: str) -> str:
     """Prefix the query with the common table expressions it needs, in order."""
