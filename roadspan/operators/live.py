@@ -170,9 +170,12 @@ def vehicle_state(
     return with_date_attributes(newest, F.to_date("trace_date"), quarter_as_text=False)
 
 
-def rolling_sensor_stats(trace: DataFrame, before: int = ROLLING_BEFORE) -> DataFrame:
+def rolling_sensor_stats(
+    trace: DataFrame, before: int = ROLLING_BEFORE, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Mean, sample deviation, sum, minimum and maximum of the sensors over the
-    current reading and ``before`` earlier ones of the vehicle."""
+    current reading and ``before`` earlier ones of the vehicle. ``keep`` names the
+    sensors to show themselves as well."""
 
     def stats(w):
         w = w.rowsBetween(-before, 0)
@@ -192,7 +195,7 @@ def rolling_sensor_stats(trace: DataFrame, before: int = ROLLING_BEFORE) -> Data
     return (
         Timeline(rows, ["thing_id"], EVENT_ORDER, cuts)
         .frame(before, 0, stats)
-        .df.drop("oil_value", "fuel_liters")
+        .df.drop(*({"oil_value", "fuel_liters"} - set(keep)))
     )
 
 

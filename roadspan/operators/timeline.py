@@ -194,6 +194,18 @@ class Timeline:
         }
         return self._with(joined.withColumns(merged).drop(*[f"_carry_{n}" for n in values]))
 
+    def totals(self, values: dict[str, tuple[str, Column]]) -> Timeline:
+        """Add values over all rows of the key; kinds sum, max and count."""
+        if not self.sliced:
+            w = Window.partitionBy(*self.keys)
+            return self._with(
+                self._df.withColumns({name: _fold(kind, col).over(w) for name, (kind, col) in values.items()})
+            )
+        whole = self._df.groupBy(*self.keys).agg(
+            *[_fold(kind, col).alias(name) for name, (kind, col) in values.items()]
+        )
+        return self._with(self._df.join(whole, self.keys, "left"))
+
 
 def _utc_day(ts: str) -> Column:
     return F.floor(F.unix_seconds(ts) / 86400)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from roadspan.plans import (  # noqa: F401
+    feature_queries,
     journey_queries,
     kpi_queries,
     live_queries,

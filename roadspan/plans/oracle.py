@@ -274,4 +274,8 @@ def with_ctes(sql: str) -> str:
     visit(sql)
     if not needed:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in needed) + "\n" + sql
+    views = "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in needed)
+    own = sql.lstrip()
+    if own.upper().startswith("WITH "):
+        return views + ",\n" + own[5:]
+    return views + "\n" + sql
