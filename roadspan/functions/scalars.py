@@ -26,7 +26,9 @@ def haversine_km(
     half = F.pow(F.sin(dlat / 2.0), F.lit(2.0)) + (
         F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlon / 2.0), F.lit(2.0))
     )
-    return F.lit(2.0 * radius) * F.asin(F.least(F.lit(1.0), F.sqrt(half)))
+    # Not least(1, half): that would turn a NULL into the distance to the antipode.
+    bounded = F.when(half > 1.0, F.lit(1.0)).otherwise(half)
+    return F.lit(2.0 * radius) * F.asin(F.sqrt(bounded))
 
 
 def seconds_between(start: Column, end: Column) -> Column:
@@ -82,6 +84,9 @@ def json_field(details: Column, key: str) -> Column:
     return F.get_json_object(F.translate(details, "'", '"'), f"$.{key}")
 
 
-def hashed_unit(*parts: Column, salt: int = 0) -> Column:
-    """Repeatable number in [0, 1) drawn from the row's own key columns."""
-    return F.pmod(F.xxhash64(*parts, F.lit(salt)), F.lit(1_000_003)) / F.lit(1_000_003.0)
+def key_draw(number: Column, when: Column, salt: int) -> Column:
+    """Repeatable number in [0, 1) by arithmetic on a row's key: a number and a time."""
+    mixed = (
+        number.cast("long") * 7919 + F.unix_seconds(when) * 104729 + F.lit(salt * 15485863).cast("long")
+    )
+    return F.pmod(mixed, F.lit(1_000_003)) / F.lit(1_000_003.0)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadspan.functions.scalars import hashed_unit, json_field
+from roadspan.functions.scalars import json_field, key_draw
 from roadspan.operators.timeline import Timeline, hot_cuts
 
 ORDER = ["date_insertion", "trace_id"]
@@ -100,16 +100,19 @@ def _banded(draw: Column, ranges: list[tuple[float, float]], digits: int) -> Col
 def banded_impute(df: DataFrame) -> DataFrame:
     """Fill missing oil levels and fuel litres and give every row a fuel change.
 
-    The draws come from a hash of the row's key, so a rerun gives the same values.
+    The draws come from the row's key, so a rerun gives the same values.
     """
-    key = [F.col("thing_id"), F.col("date_insertion"), F.col("trace_id")]
     low, high = FUEL_LITERS_RANGE
+
+    def draw(salt: int) -> Column:
+        return key_draw(F.col("thing_id"), F.col("date_insertion"), salt)
+
     return row_progress(df).withColumns(
         {
-            "oil_value": F.coalesce("oil_value", _banded(hashed_unit(*key, salt=1), OIL_RANGES, 1)),
-            "fuel_change": _banded(hashed_unit(*key, salt=2), FUEL_CHANGE_RANGES, 3),
+            "oil_value": F.coalesce("oil_value", _banded(draw(1), OIL_RANGES, 1)),
+            "fuel_change": _banded(draw(2), FUEL_CHANGE_RANGES, 3),
             "fuel_liters": F.coalesce(
-                "fuel_liters", F.round(F.lit(low) + hashed_unit(*key, salt=3) * (high - low), 1)
+                "fuel_liters", F.round(F.lit(low) + draw(3) * (high - low), 1)
             ),
         }
     ).drop("first_threshold", "second_threshold", "third_threshold")
@@ -127,7 +130,7 @@ def lag_difference(df: DataFrame) -> DataFrame:
 
 def training_projection(df: DataFrame) -> DataFrame:
     """The eleven training columns and an age class, old for 70 % of the rows."""
-    draw = hashed_unit(F.col("thing_id"), F.col("date_insertion"), F.col("trace_id"), salt=4)
+    draw = key_draw(F.col("thing_id"), F.col("date_insertion"), 4)
     return df.select(
         *TRAINING_COLUMNS, F.when(draw < OLD_CAR_SHARE, "old").otherwise("new").alias("car_age")
     )

@@ -12,6 +12,7 @@ from roadspan.plans import (  # noqa: F401
     kpi_queries,
     live_queries,
     registry,
+    stream_queries,
     warehouse,
 )
 

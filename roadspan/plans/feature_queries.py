@@ -10,16 +10,6 @@ from roadspan.plans.fixtures import Inputs
 from roadspan.plans.oracle import r6
 from roadspan.plans.registry import query, rounded
 
-DETAILS_SQL = "replace(details, '''', '\"')"
-
-
-def _field_sql(name: str) -> str:
-    return (
-        f"TRY_CAST(json_extract_string(CASE WHEN json_valid({DETAILS_SQL}) THEN {DETAILS_SQL} END, "
-        f"'$.{name}') AS DOUBLE) AS {name}"
-    )
-
-
 def extracted(i: Inputs) -> DataFrame:
     return features.json_field_extract(i.rul_src)
 
@@ -30,7 +20,7 @@ def pairs(i: Inputs) -> DataFrame:
 
 @query(
     "json_field_extract",
-    f"SELECT trace_id, {_field_sql('oil_value')}, {_field_sql('fuel_liters')} FROM rul_src",
+    "SELECT trace_id, oil_value, fuel_liters FROM extracted",
 )
 def _json(i: Inputs) -> DataFrame:
     return extracted(i).select("trace_id", "oil_value", "fuel_liters")
@@ -94,9 +84,14 @@ def _max(i: Inputs) -> DataFrame:
     return features.drop_repeated_max(i.rul_src, "speed").select("trace_id", "thing_id", "speed")
 
 
-@query("banded_impute")
+FILLED = ["oil_value", "fuel_change", "fuel_liters"]
+FILLED_SQL = ", ".join(r6(c, c) for c in FILLED)
+
+
+@query("banded_impute", f"SELECT trace_id, thing_id, {FILLED_SQL} FROM imputed")
 def _impute(i: Inputs) -> DataFrame:
-    return features.banded_impute(extracted(i))
+    filled = features.banded_impute(extracted(i)).select("trace_id", "thing_id", *FILLED)
+    return rounded(filled, *FILLED)
 
 
 @query(
@@ -109,9 +104,16 @@ def _lag(i: Inputs) -> DataFrame:
     return rounded(shown, "battery_current_change")
 
 
-@query("training_projection")
+DERIVED = [*FILLED, "battery_current_change", "daily_avg_voltage"]
+
+
+@query(
+    "training_projection",
+    f"""SELECT thing_id, date_insertion, speed, total_km, engine_status, power_supply_voltage, car_age,
+    {", ".join(r6(c, c) for c in DERIVED)} FROM training""",
+)
 def _training(i: Inputs) -> DataFrame:
-    return features.training_set(i.rul_src)
+    return rounded(features.training_set(i.rul_src), *DERIVED)
 
 
 PAIRS_SQL = """(SELECT thing_id, date_insertion, trace_id, speed, next_speed FROM (

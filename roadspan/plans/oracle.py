@@ -15,10 +15,13 @@ def r6(expr: str, name: str) -> str:
 
 
 def haversine(lat1: str, lon1: str, lat2: str, lon2: str, radius: float) -> str:
+    half = (
+        f"(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
+        f" * pow(sin(radians({lon2} - {lon1}) / 2), 2))"
+    )
     return (
-        f"(CAST({2 * radius!r} AS DOUBLE) * asin(least(CAST(1 AS DOUBLE), sqrt("
-        f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
-        f" * pow(sin(radians({lon2} - {lon1}) / 2), 2)))))"
+        f"(CAST({2 * radius!r} AS DOUBLE) * atan2(sqrt({half}), "
+        f"sqrt(greatest(CAST(0 AS DOUBLE), 1 - {half}))))"
     )
 
 
@@ -258,6 +261,57 @@ SELECT journey_id, list({'seq': seq, 'lat': CAST(printf('%.6f', latitude) AS DOU
     "journey_cleaned": f"SELECT journey_id, {greedy('p', '{d} <= 1.0')} AS p FROM journey_dense",
 }
 
+# --- features -------------------------------------------------------------------------------
+
+DETAILS = "replace(details, '''', '\"')"
+
+
+def json_number(name: str) -> str:
+    return (
+        f"TRY_CAST(json_extract_string(CASE WHEN json_valid({DETAILS}) THEN {DETAILS} END, "
+        f"'$.{name}') AS DOUBLE) AS {name}"
+    )
+
+
+def draw(salt: int) -> str:
+    key = "CAST(thing_id AS BIGINT) * 7919 + CAST(epoch(date_insertion) AS BIGINT) * 104729"
+    return f"(CAST(({key} + {salt * 15485863}) % 1000003 AS DOUBLE) / CAST(1000003 AS DOUBLE))"
+
+
+def banded(salt: int, ranges: list[tuple[float, float]], digits: int) -> str:
+    def value(low: float, high: float) -> str:
+        return f"ROUND(CAST({low} AS DOUBLE) + {draw(salt)} * CAST({high - low!r} AS DOUBLE), {digits})"
+
+    cases = " ".join(
+        f"WHEN row_num <= total_rows * CAST({share} AS DOUBLE) THEN {value(*r)}"
+        for share, r in zip((0.6, 0.8, 0.9), ranges, strict=False)
+    )
+    return f"CASE {cases} ELSE {value(*ranges[-1])} END"
+
+
+CTES |= {
+    "extracted": f"""
+SELECT * EXCLUDE (details), {json_number('oil_value')}, {json_number('fuel_liters')} FROM rul_src""",
+    "one_maximum": """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY total_km
+  ORDER BY thing_id, date_insertion, trace_id) AS rn, max(total_km) OVER () AS top FROM extracted)
+WHERE total_km < top OR (total_km = top AND rn = 1)""",
+}
+for _name, _source in (("imputed", "extracted"), ("imputed_once", "one_maximum")):
+    CTES[_name] = f"""
+SELECT thing_id, date_insertion, trace_id, speed, total_km, engine_status, power_supply_voltage,
+  coalesce(oil_value, {banded(1, [(4.0, 6.0), (3.0, 6.0), (2.0, 5.0), (1.5, 3.0)], 1)}) AS oil_value,
+  {banded(2, [(0.014, 0.017), (0.014, 0.018), (0.015, 0.018), (0.017, 0.022)], 3)} AS fuel_change,
+  coalesce(fuel_liters, ROUND({draw(3)} * 60, 1)) AS fuel_liters
+FROM (SELECT *, row_number() OVER (PARTITION BY thing_id ORDER BY date_insertion, trace_id) AS row_num,
+  count(*) OVER (PARTITION BY thing_id) AS total_rows FROM {_source})"""
+CTES["training"] = f"""
+SELECT *, CASE WHEN {draw(4)} < 0.7 THEN 'old' ELSE 'new' END AS car_age,
+  power_supply_voltage - lag(power_supply_voltage) OVER (PARTITION BY thing_id
+    ORDER BY date_insertion, trace_id) AS battery_current_change,
+  avg(power_supply_voltage) OVER (PARTITION BY thing_id, date_insertion) AS daily_avg_voltage
+FROM imputed_once"""
+
 
 def with_ctes(sql: str) -> str:
     """Prefix the query with the common table expressions it needs, in order."""
