@@ -96,10 +96,9 @@ def greedy_filter(points: DataFrame, keep, points_per_part: int = POINTS_PER_PAR
 
     Every part of a path is filtered on its own, starting from the last kept point of
     the part before. That point is unknown at first, so the starts of long paths are
-    settled in rounds: each round recomputes only the parts whose start has changed,
-    until none does, which is the exact result. The filter forgets its start after a
-    few points, so a few rounds are the rule. Between rounds one slim row per part is
-    written; the points themselves are written once.
+    settled in rounds until none changes, which is the exact result. The filter
+    forgets its start after a few points, so a few rounds are the rule. Between rounds
+    one slim row per part is written; the points themselves are written once.
     """
     unknown = F.lit(None).cast(POINT)
     parts = materialise(path_parts(points, points_per_part))
@@ -117,28 +116,60 @@ def greedy_filter(points: DataFrame, keep, points_per_part: int = POINTS_PER_PAR
 
 
 def _settled_starts(parts: DataFrame, keep) -> DataFrame:
-    """(path_id, part, start): the last kept point before each part."""
+    """(path_id, part, start): the last kept point before each part.
+
+    A part that keeps nothing hands its start on, so the start proposed for a part is
+    the last point of the nearest earlier part that keeps something. The parts before
+    the first one whose start differs from the proposal are settled. Each round tries
+    every open part with two starts: the point that leaves the settled parts, which
+    settles all following parts that keep nothing after it (a parked vehicle, or a
+    bad first fix that holds everything back) and the one after them, and the
+    proposed start, by which moving stretches settle side by side.
+    """
     keys = ["path_id", "part"]
-    in_order = Window.partitionBy("path_id").orderBy("part")
+    earlier = Window.partitionBy("path_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("path_id")
     unknown = F.lit(None).cast(POINT)
     state = materialise(
-        parts.select(*keys, unknown.alias("start"), _last_kept(F.col("pts"), unknown, keep).alias("last"))
+        parts.select(
+            *keys,
+            unknown.alias("start"),
+            _last_kept(F.col("pts"), unknown, keep).alias("last"),
+            F.lit(False).alias("through"),
+        )
     )
     while True:
-        handed_on = state.select(*keys, "start", F.lag("last").over(in_order).alias("given"))
-        changed = handed_on.filter(~F.col("given").eqNullSafe(F.col("start"))).select(*keys, "given")
-        redone = materialise(
-            parts.join(changed, keys).select(
-                *keys, "given", _last_kept(F.col("pts"), F.col("given"), keep).alias("new_last")
-            )
+        leaving = F.last(F.when(~F.col("through"), F.col("last")), ignorenulls=True)
+        proposed = state.select(*keys, "start", leaving.over(earlier).alias("given"))
+        differs = ~F.col("given").eqNullSafe(F.col("start"))
+        first = F.min(F.when(differs, F.struct("part", "given"))).over(own)
+        todo = materialise(
+            proposed.withColumn("_first", first)
+            .filter(F.col("part") >= F.col("_first.part"))
+            .select(*keys, "given", F.col("_first.given").alias("frontier"))
         )
-        if redone.isEmpty():
+        if todo.isEmpty():
             return state.select(*keys, "start")
+        tried = parts.join(todo, keys).select(
+            *keys,
+            "given",
+            "frontier",
+            _last_kept(F.col("pts"), F.col("frontier"), keep).alias("_at_frontier"),
+            _last_kept(F.col("pts"), F.col("given"), keep).alias("_at_given"),
+        )
+        stops = F.min(F.when(F.col("_at_frontier") != F.col("frontier"), F.col("part"))).over(own)
+        reached = F.coalesce(F.col("part") <= F.col("_stop"), F.lit(True))
+        redone = tried.withColumn("_stop", stops).select(
+            *keys,
+            F.when(reached, F.col("frontier")).otherwise(F.col("given")).alias("new_start"),
+            F.when(reached, F.col("_at_frontier")).otherwise(F.col("_at_given")).alias("new_last"),
+        )
         state = materialise(
             state.join(redone, keys, "left").select(
                 *keys,
-                F.coalesce("given", "start").alias("start"),
+                F.coalesce("new_start", "start").alias("start"),
                 F.coalesce("new_last", "last").alias("last"),
+                F.coalesce(F.col("new_start") == F.col("new_last"), F.col("through")).alias("through"),
             )
         )
 
