@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadspan.functions.scalars import json_field, key_draw
-from roadspan.operators.timeline import Timeline, hot_cuts
+from roadspan.operators.timeline import AUTO, Cuts, Timeline, cuts_for, hot_cuts
 
 ORDER = ["date_insertion", "trace_id"]
 
@@ -26,8 +26,8 @@ TRAINING_COLUMNS = [
 ]
 
 
-def _timeline(df: DataFrame) -> Timeline:
-    return Timeline(df, ["thing_id"], ORDER, hot_cuts(df, ["thing_id"], ORDER[0]))
+def _timeline(df: DataFrame, cuts: Cuts) -> Timeline:
+    return Timeline(df, ["thing_id"], ORDER, cuts_for(df, ["thing_id"], ORDER[0], cuts))
 
 
 def json_field_extract(df: DataFrame, fields: tuple[str, ...] = ("oil_value", "fuel_liters")) -> DataFrame:
@@ -41,25 +41,28 @@ def calendar_features(df: DataFrame) -> DataFrame:
     )
 
 
-def group_mean_joinback(df: DataFrame) -> DataFrame:
+def group_mean_joinback(df: DataFrame, cuts: Cuts = AUTO) -> DataFrame:
     """Mean voltage per vehicle and time, back on every row.
 
-    Aggregate and join rather than a window: the mean combines before the shuffle,
-    and adaptive execution can split a hot key of the join.
+    Without a large vehicle one window does it, on a partitioning that the other
+    per-vehicle steps share. With one, many rows may have the same time, so the mean
+    is aggregated (combining before the shuffle) and joined back.
     """
     keys = ["thing_id", "date_insertion"]
-    means = df.groupBy(*keys).agg(F.avg("power_supply_voltage").alias("daily_avg_voltage"))
-    return df.join(means, keys, "left")
+    mean = F.avg("power_supply_voltage")
+    if cuts_for(df, ["thing_id"], ORDER[0], cuts) is None:
+        return df.withColumn("daily_avg_voltage", mean.over(Window.partitionBy(*keys)))
+    return df.join(df.groupBy(*keys).agg(mean.alias("daily_avg_voltage")), keys, "left")
 
 
 def engine_alert_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("engine_alert", F.when(F.col("engine_status") == "Abnormal", 1).otherwise(0))
 
 
-def row_progress(df: DataFrame) -> DataFrame:
+def row_progress(df: DataFrame, cuts: Cuts = AUTO) -> DataFrame:
     """Row number and number of rows per vehicle, and the band thresholds."""
     counted = (
-        _timeline(df)
+        _timeline(df, cuts)
         .running({"row_num": ("count", F.lit(1))})
         .totals({"total_rows": ("count", F.lit(1))})
         .df
@@ -97,7 +100,7 @@ def _banded(draw: Column, ranges: list[tuple[float, float]], digits: int) -> Col
     return reduce(lambda rest, case: F.when(*case).otherwise(rest), reversed(chosen), value(ranges[-1]))
 
 
-def banded_impute(df: DataFrame) -> DataFrame:
+def banded_impute(df: DataFrame, cuts: Cuts = AUTO) -> DataFrame:
     """Fill missing oil levels and fuel litres and give every row a fuel change.
 
     The draws come from the row's key, so a rerun gives the same values.
@@ -107,7 +110,7 @@ def banded_impute(df: DataFrame) -> DataFrame:
     def draw(salt: int) -> Column:
         return key_draw(F.col("thing_id"), F.col("date_insertion"), salt)
 
-    return row_progress(df).withColumns(
+    return row_progress(df, cuts).withColumns(
         {
             "oil_value": F.coalesce("oil_value", _banded(draw(1), OIL_RANGES, 1)),
             "fuel_change": _banded(draw(2), FUEL_CHANGE_RANGES, 3),
@@ -118,14 +121,14 @@ def banded_impute(df: DataFrame) -> DataFrame:
     ).drop("first_threshold", "second_threshold", "third_threshold")
 
 
-def lag_difference(df: DataFrame) -> DataFrame:
+def lag_difference(df: DataFrame, cuts: Cuts = AUTO) -> DataFrame:
     """Change of the voltage since the vehicle's previous reading."""
 
     def change(w):
         now = F.col("power_supply_voltage")
         return {"battery_current_change": now - F.lag("power_supply_voltage").over(w)}
 
-    return _timeline(df).frame(1, 0, change).df
+    return _timeline(df, cuts).frame(1, 0, change).df
 
 
 def training_projection(df: DataFrame) -> DataFrame:
@@ -137,10 +140,14 @@ def training_projection(df: DataFrame) -> DataFrame:
 
 
 def training_set(df: DataFrame) -> DataFrame:
-    """All steps from the raw export to the training projection."""
-    prepared = engine_alert_flag(calendar_features(json_field_extract(df)))
-    filled = banded_impute(drop_repeated_max(prepared))
-    return training_projection(lag_difference(group_mean_joinback(filled)))
+    """All steps from the raw export to the training projection.
+
+    Rows are counted for large vehicles once, on the raw export.
+    """
+    cuts = hot_cuts(df, ["thing_id"], ORDER[0])
+    once = drop_repeated_max(engine_alert_flag(calendar_features(json_field_extract(df))))
+    filled = banded_impute(group_mean_joinback(once, cuts), cuts)
+    return training_projection(lag_difference(filled, cuts))
 
 
 def next_value_pairs(df: DataFrame) -> DataFrame:
@@ -149,7 +156,7 @@ def next_value_pairs(df: DataFrame) -> DataFrame:
     def following(w):
         return {"next_speed": F.lead("speed").over(w), "_has_next": F.lead(F.lit(True)).over(w)}
 
-    return _timeline(df).frame(0, 1, following).df.filter("_has_next").drop("_has_next")
+    return _timeline(df, AUTO).frame(0, 1, following).df.filter("_has_next").drop("_has_next")
 
 
 def split_80_20(df: DataFrame) -> DataFrame:
@@ -201,7 +208,7 @@ def sliding_sequences(df: DataFrame, steps: int = 5) -> DataFrame:
         earlier = {f"s{steps + 1 - k}": F.lag("speed", k).over(w) for k in range(steps, 0, -1)}
         return earlier | {"_run": F.count(F.lit(1)).over(w.rowsBetween(-steps, 0))}
 
-    rows = _timeline(df.select("thing_id", *ORDER, "speed")).frame(steps, 0, run).df
+    rows = _timeline(df.select("thing_id", *ORDER, "speed"), AUTO).frame(steps, 0, run).df
     return (
         rows.filter(F.col("_run") == steps + 1)
         .drop("_run")

@@ -6,13 +6,17 @@ running count of engine starts. Only bounded pieces are ever collected into arra
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadspan.functions.scalars import seconds_between
 from roadspan.operators.facts import with_date_id
+from roadspan.operators.paths import path_text
 from roadspan.operators.places import place_lookup
-from roadspan.operators.timeline import Timeline, hot_cuts
+from roadspan.operators.scaling import materialise
+from roadspan.operators.timeline import AUTO, Cuts, Timeline, cuts_for, hot_cuts
 
 SOURCE_COLUMNS = [
     "thing_id", "date_id", "trace_date", "engine_status", "latitude", "longitude", "journey", "speed",
@@ -31,6 +35,7 @@ def journey_source(
     after_date_id: int | None = None,
     max_date_id: int | None = None,
     max_thing_id: int | None = None,
+    cuts: Cuts = AUTO,
 ) -> DataFrame:
     """Distinct dated trace rows within the given windows.
 
@@ -45,7 +50,7 @@ def journey_source(
     if max_date_id is not None:
         calendar = calendar.filter(F.col("date_id") <= max_date_id)
     rows = with_date_id(trace, calendar).select(*SOURCE_COLUMNS)
-    if hot_cuts(trace, ["thing_id"], "trace_date") is None:
+    if cuts_for(trace, ["thing_id"], "trace_date", cuts) is None:
         rows = rows.repartition("thing_id")
     return rows.distinct()
 
@@ -70,23 +75,25 @@ def _with_edges(df: DataFrame) -> DataFrame:
     ).drop("_status_before_prev")
 
 
-def _timeline(source: DataFrame) -> Timeline:
-    cuts = hot_cuts(source, ["thing_id"], "trace_date")
-    return Timeline(source, ["thing_id"], SOURCE_ORDER, cuts).frame(2, 0, _status_before).map(_with_edges)
+def _timeline(source: DataFrame, cuts: Cuts) -> Timeline:
+    line = Timeline(
+        source, ["thing_id"], SOURCE_ORDER, cuts_for(source, ["thing_id"], "trace_date", cuts)
+    )
+    return line.frame(2, 0, _status_before).map(_with_edges)
 
 
-def engine_edges(source: DataFrame) -> DataFrame:
+def engine_edges(source: DataFrame, cuts: Cuts = AUTO) -> DataFrame:
     """Rows where the engine goes on (rise) or off (fall); a first row is never one."""
-    rows = _timeline(source).df.drop("_after_fall")
+    rows = _timeline(source, cuts).df.drop("_after_fall")
     return rows.filter(F.col("rise") | F.col("fall"))
 
 
-def segment_rows(source: DataFrame) -> DataFrame:
+def segment_rows(source: DataFrame, cuts: Cuts = AUTO) -> DataFrame:
     """Rows from each engine start up to the stop that follows, both included.
 
     ``segment`` counts the vehicle's engine starts and ``position`` its rows.
     """
-    running = _timeline(source).running(
+    running = _timeline(source, cuts).running(
         {
             "segment": ("sum", F.col("rise").cast("long")),
             "position": ("count", F.lit(1)),
@@ -126,6 +133,7 @@ def journey_ids(segments: DataFrame, last_id: int = 0) -> DataFrame:
 
     The id is the number of starts of all lower vehicles plus the segment number. The
     sum over lower vehicles goes by blocks of vehicles, so no window spans them all.
+    The segments are read three times here; give a stored frame.
     """
     block = F.floor(F.col("thing_id") / VEHICLES_PER_BLOCK)
     per_thing = (
@@ -261,3 +269,55 @@ def delete_orphan_journeys(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Facts whose journey is still in the dimension."""
     return fact.join(dim.select("journey_id"), "journey_id", "left_semi")
 
+
+
+class JourneyRun:
+    """One pass from the trace to the journey tables.
+
+    The trace is shuffled once. What several tables need is written to the checkpoint
+    folder: the segments (one row per journey), and with ``keep_rows`` also the rows
+    inside journeys, from which paths are made.
+    """
+
+    def __init__(
+        self,
+        trace: DataFrame,
+        date_dim: DataFrame,
+        last_id: int = 0,
+        keep_rows: bool = False,
+        **windows: int | None,
+    ):
+        self.trace, self.last_id, self.keep_rows = trace, last_id, keep_rows
+        self.cuts = hot_cuts(trace, ["thing_id"], "trace_date")
+        self.source = journey_source(trace, date_dim, cuts=self.cuts, **windows)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        rows = segment_rows(self.source, self.cuts)
+        return materialise(rows) if self.keep_rows else rows
+
+    @cached_property
+    def numbered(self) -> DataFrame:
+        return materialise(journey_ids(materialise(journey_segments(self.rows)), self.last_id))
+
+    @cached_property
+    def closed(self) -> DataFrame:
+        return closed_journeys(self.numbered)
+
+    def speeds(self) -> DataFrame:
+        return journey_speed_stats(self.trace, self.closed)
+
+    def fact(self) -> DataFrame:
+        return journey(journey_measures(self.closed), self.speeds())
+
+    def points(self) -> DataFrame:
+        return journey_points(self.rows, self.closed)
+
+    def paths(self, decimals: int | None = None) -> DataFrame:
+        return path_text(self.points(), decimals)
+
+    def endpoints(self, gazetteer: DataFrame) -> DataFrame:
+        return journey_endpoints(self.closed, gazetteer)
+
+    def dim(self, gazetteer: DataFrame, decimals: int | None = None) -> DataFrame:
+        return journey_dim(self.closed, self.endpoints(gazetteer), self.paths(decimals))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roadspan.functions.scalars import haversine_km, seconds_between, with_date_attributes
 from roadspan.operators.loading import latest_by_key
 from roadspan.operators.places import place_lookup
-from roadspan.operators.timeline import Timeline, hot_cuts
+from roadspan.operators.timeline import AUTO, Cuts, Timeline, cuts_for, hot_cuts
 
 # Fixed values.
 SPEED_LIMIT = 200
@@ -171,7 +171,10 @@ def vehicle_state(
 
 
 def rolling_sensor_stats(
-    trace: DataFrame, before: int = ROLLING_BEFORE, keep: tuple[str, ...] = ()
+    trace: DataFrame,
+    before: int = ROLLING_BEFORE,
+    keep: tuple[str, ...] = (),
+    cuts: Cuts = AUTO,
 ) -> DataFrame:
     """Mean, sample deviation, sum, minimum and maximum of the sensors over the
     current reading and ``before`` earlier ones of the vehicle. ``keep`` names the
@@ -191,7 +194,7 @@ def rolling_sensor_stats(
         return columns
 
     rows = trace.select("thing_id", *EVENT_ORDER, "oil_value", "fuel_liters")
-    cuts = hot_cuts(trace, ["thing_id"], "trace_date")
+    cuts = cuts_for(trace, ["thing_id"], "trace_date", cuts)
     return (
         Timeline(rows, ["thing_id"], EVENT_ORDER, cuts)
         .frame(before, 0, stats)

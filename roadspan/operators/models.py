@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadspan.operators import features, live
+from roadspan.operators.timeline import hot_cuts
 
 RUL_FEATURES = [
     "car_usage", "thing_id", "oil_value", "fuel_change",
@@ -24,9 +25,11 @@ def rul_features(trace: DataFrame) -> DataFrame:
 
     A missing level counts as 0, as does the deviation of a first reading.
     """
-    stats = live.constant_features(live.rolling_sensor_stats(trace, keep=("oil_value",)))
+    cuts = hot_cuts(trace, ["thing_id"], "trace_date")
+    rolled = live.rolling_sensor_stats(trace, keep=("oil_value",), cuts=cuts)
+    stats = live.constant_features(rolled)
     ordered = stats.withColumn("date_insertion", F.col("trace_date"))
-    counted = features.row_progress(ordered)
+    counted = features.row_progress(ordered, cuts)
     filled = counted.fillna(0.0, subset=[c for c in RUL_FEATURES if c != "thing_id"])
     return filled.select(
         *dict.fromkeys(["thing_id", *live.EVENT_ORDER, *RUL_FEATURES]),

@@ -70,6 +70,17 @@ def hot_cuts(
     return None if cuts.isEmpty() else cuts
 
 
+# Stands for "count the rows of the frame itself". A step that works on the result of
+# other steps is given the cuts of the raw rows instead, so that nothing upstream runs
+# just to be counted; cuts never change a result.
+AUTO = "auto"
+Cuts = DataFrame | None | str
+
+
+def cuts_for(df: DataFrame, keys: list[str], ts: str, cuts: Cuts) -> DataFrame | None:
+    return hot_cuts(df, keys, ts) if isinstance(cuts, str) else cuts
+
+
 class Timeline:
     """Rows of many keys, each ordered by ``order`` (ascending, NULLs first).
 

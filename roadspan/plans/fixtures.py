@@ -7,11 +7,14 @@ engine (as common table expressions), so both sides start from the same rows.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadspan.operators.scaling import materialise
+
 AS_OF = dt.date(2024, 1, 30)
 AS_OF_SQL = "DATE '2024-01-30'"
 
@@ -141,6 +144,12 @@ class Inputs:
             self._frames[name] = frame
         return self._frames[name]
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A frame that several parts of a query use, written to the checkpoint folder."""
+        if name not in self._frames:
+            self._frames[name] = materialise(build())
+        return self._frames[name]
+
     @cached_property
     def history(self) -> DataFrame:
         """Trace rows before the as-of day."""

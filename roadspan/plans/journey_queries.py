@@ -19,34 +19,8 @@ from roadspan.plans.registry import query, register, rounded
 DECIMALS = 6
 
 
-class Journeys:
-    """The frames of one journey run over the trace."""
-
-    def __init__(self, i: Inputs):
-        self.inputs = i
-        self.source = journeys.journey_source(i.trace_week, warehouse.date_dim(i))
-        self.rows = journeys.segment_rows(self.source)
-        self.segments = journeys.journey_segments(self.rows)
-        self.numbered = journeys.journey_ids(self.segments)
-        self.closed = journeys.closed_journeys(self.numbered)
-
-    def speeds(self) -> DataFrame:
-        return journeys.journey_speed_stats(self.inputs.trace_week, self.closed)
-
-    def points(self) -> DataFrame:
-        return journeys.journey_points(self.rows, self.closed)
-
-    def paths(self) -> DataFrame:
-        return paths.path_text(self.points(), DECIMALS)
-
-    def endpoints(self) -> DataFrame:
-        return journeys.journey_endpoints(self.closed, self.inputs.gazetteer)
-
-    def dim(self) -> DataFrame:
-        return journeys.journey_dim(self.closed, self.endpoints(), self.paths())
-
-    def fact(self) -> DataFrame:
-        return journeys.journey(journeys.journey_measures(self.closed), self.speeds())
+def run_of(i: Inputs, keep_rows: bool = False) -> journeys.JourneyRun:
+    return journeys.JourneyRun(i.trace_week, warehouse.date_dim(i), keep_rows=keep_rows)
 
 
 def thing_points(i: Inputs) -> DataFrame:
@@ -62,7 +36,7 @@ def thing_points(i: Inputs) -> DataFrame:
 
 @query("journey_source", "SELECT * FROM jsource")
 def _source(i: Inputs) -> DataFrame:
-    return Journeys(i).source
+    return run_of(i).source
 
 
 @query(
@@ -71,7 +45,8 @@ def _source(i: Inputs) -> DataFrame:
     prev_engine_status, rise, fall FROM jrows WHERE rise OR fall""",
 )
 def _edges(i: Inputs) -> DataFrame:
-    return journeys.engine_edges(Journeys(i).source)
+    run = run_of(i)
+    return journeys.engine_edges(run.source, run.cuts)
 
 
 @query(
@@ -80,7 +55,7 @@ def _edges(i: Inputs) -> DataFrame:
     end_journey, end_date_id AS date_id, end_pos - pos + 1 AS n_points FROM jstarts WHERE closed""",
 )
 def _segments(i: Inputs) -> DataFrame:
-    closed = Journeys(i).segments.filter("end_time IS NOT NULL")
+    closed = journeys.journey_segments(run_of(i).rows).filter("end_time IS NOT NULL")
     return closed.select(
         "thing_id", "segment", "start_time", "end_time", "start_journey", "end_journey", "date_id",
         "n_points",
@@ -89,7 +64,7 @@ def _segments(i: Inputs) -> DataFrame:
 
 @query("journey_ids", "SELECT journey_id, thing_id, segment, trace_date AS start_time FROM jstarts")
 def _ids(i: Inputs) -> DataFrame:
-    return Journeys(i).numbered.select("journey_id", "thing_id", "segment", "start_time")
+    return run_of(i).numbered.select("journey_id", "thing_id", "segment", "start_time")
 
 
 @query(
@@ -100,7 +75,7 @@ def _ids(i: Inputs) -> DataFrame:
     end_date_id AS date_id, trace_date AS start_time, end_time FROM jclosed""",
 )
 def _measures(i: Inputs) -> DataFrame:
-    return rounded(journeys.journey_measures(Journeys(i).closed), "traveled_distance", "active_time")
+    return rounded(journeys.journey_measures(run_of(i).closed), "traveled_distance", "active_time")
 
 
 @query(
@@ -109,17 +84,17 @@ def _measures(i: Inputs) -> DataFrame:
     FROM jclosed c LEFT JOIN jspeeds s ON c.journey_id = s.journey_id""",
 )
 def _speeds(i: Inputs) -> DataFrame:
-    return rounded(Journeys(i).speeds(), "avg_speed")
+    return rounded(run_of(i).speeds(), "avg_speed")
 
 
 @query("journey_path", "SELECT journey_id, CAST(0 AS BIGINT) AS part, n_points, path FROM jpaths")
 def _paths(i: Inputs) -> DataFrame:
-    return Journeys(i).paths().withColumnRenamed("path_id", "journey_id")
+    return run_of(i, keep_rows=True).paths(DECIMALS).withColumnRenamed("path_id", "journey_id")
 
 
 @query("journey_endpoints", "SELECT journey_id, start_point, end_point FROM jdim")
 def _endpoints(i: Inputs) -> DataFrame:
-    return Journeys(i).endpoints()
+    return run_of(i).endpoints(i.gazetteer)
 
 
 @query(
@@ -127,7 +102,7 @@ def _endpoints(i: Inputs) -> DataFrame:
     "SELECT journey_id, start_point, end_point, start_time, end_time, part, path FROM jdim",
 )
 def _dim(i: Inputs) -> DataFrame:
-    return Journeys(i).dim()
+    return run_of(i, keep_rows=True).dim(i.gazetteer, DECIMALS)
 
 
 FACT_SQL = f"""journey_id, thing_id, {r6('traveled_distance', 'traveled_distance')}, idle_time,
@@ -136,7 +111,7 @@ FACT_SQL = f"""journey_id, thing_id, {r6('traveled_distance', 'traveled_distance
 
 @query("journey", f"SELECT {FACT_SQL} FROM jfact")
 def _fact(i: Inputs) -> DataFrame:
-    return rounded(Journeys(i).fact(), "traveled_distance", "active_time", "avg_speed")
+    return rounded(run_of(i).fact(), "traveled_distance", "active_time", "avg_speed")
 
 
 @query(
@@ -145,7 +120,7 @@ def _fact(i: Inputs) -> DataFrame:
     CAST(printf('%.6f', longitude) AS DOUBLE) AS lon FROM jpoints""",
 )
 def _parse_path(i: Inputs) -> DataFrame:
-    parsed = Journeys(i).paths().select(
+    parsed = run_of(i, keep_rows=True).paths(DECIMALS).select(
         F.col("path_id").alias("journey_id"),
         "part",
         F.posexplode(paths.parse_path(F.col("path"))).alias("_pos", "_p"),
@@ -190,7 +165,7 @@ def _jumps(i: Inputs) -> DataFrame:
     lambda x: printf('%.6f,%.6f', x.lat, x.lon)), 'string_agg', ';') AS path FROM journey_cleaned""",
 )
 def _path_clean(i: Inputs) -> DataFrame:
-    stored = Journeys(i).paths().select("path_id", "part", "path")
+    stored = run_of(i, keep_rows=True).paths(DECIMALS).select("path_id", "part", "path")
     return paths.path_clean(stored, DECIMALS).withColumnRenamed("path_id", "journey_id")
 
 
@@ -202,7 +177,7 @@ def emptied(dim: DataFrame) -> DataFrame:
 
 @query("delete_empty_paths", "SELECT journey_id, path FROM jdim WHERE n_points >= 3")
 def _delete_empty(i: Inputs) -> DataFrame:
-    return journeys.delete_empty_paths(emptied(Journeys(i).dim())).select("journey_id", "path")
+    return journeys.delete_empty_paths(emptied(run_of(i, keep_rows=True).dim(i.gazetteer, DECIMALS))).select("journey_id", "path")
 
 
 @query(
@@ -211,8 +186,9 @@ def _delete_empty(i: Inputs) -> DataFrame:
     SELECT journey_id FROM jdim WHERE n_points < 3)""",
 )
 def _delete_orphans(i: Inputs) -> DataFrame:
-    run = Journeys(i)
-    left = journeys.delete_empty_paths(emptied(run.paths().withColumnRenamed("path_id", "journey_id")))
+    run = run_of(i, keep_rows=True)
+    stored = run.paths(DECIMALS).withColumnRenamed("path_id", "journey_id")
+    left = journeys.delete_empty_paths(emptied(stored))
     fact = journeys.delete_orphan_journeys(run.fact(), left)
     return rounded(fact, "traveled_distance", "active_time", "avg_speed")
 
@@ -312,8 +288,9 @@ def _fuel_total_group(i: Inputs) -> DataFrame:
     ORDER BY start_time DESC, f.journey_id LIMIT 5""",
 )
 def _journeys_page(i: Inputs) -> DataFrame:
-    run = Journeys(i)
-    page = serving.journeys_page(run.fact(), run.dim(), warehouse.thing_dim(i), warehouse.date_dim(i))
+    run = run_of(i, keep_rows=True)
+    dim = run.dim(i.gazetteer, DECIMALS)
+    page = serving.journeys_page(run.fact(), dim, warehouse.thing_dim(i), warehouse.date_dim(i))
     return rounded(page, "active_time", "avg_speed")
 
 
@@ -324,7 +301,7 @@ def _journeys_page(i: Inputs) -> DataFrame:
     GROUP BY d.year""",
 )
 def _journey_count(i: Inputs) -> DataFrame:
-    run = Journeys(i)
+    run = run_of(i)
     return serving.journey_count(run.fact(), run.closed, warehouse.thing_dim(i), warehouse.date_dim(i))
 
 

@@ -22,7 +22,8 @@ def thing_dim(i: Inputs) -> DataFrame:
 
 
 def date_dim(i: Inputs) -> DataFrame:
-    return dims.date_dim(i.trace_week, "date_insertion_day")
+    """The calendar, stored once for all uses within one query."""
+    return i.stored("date_dim", lambda: dims.date_dim(i.trace_week, "date_insertion_day"))
 
 
 def vehicle_daily(i: Inputs, **options) -> DataFrame:
