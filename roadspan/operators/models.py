@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadspan.operators import features, live
+from roadspan.operators.scaling import materialise
 from roadspan.operators.timeline import hot_cuts
 
 RUL_FEATURES = [
@@ -38,7 +39,10 @@ def rul_features(trace: DataFrame) -> DataFrame:
 
 
 def rul_train(rows: DataFrame, trees: int = 20, depth: int = 5, seed: int = 7) -> PipelineModel:
-    """Scale the features and fit a random forest to the readings left."""
+    """Scale the features and fit a random forest to the readings left.
+
+    The learner passes over its rows several times; give a stored frame.
+    """
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=RUL_FEATURES, outputCol="raw"),
@@ -56,7 +60,7 @@ def rul_score(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def ar5_forecast(sequences: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Linear forecast from five lags: predictions of the test rows, and their error."""
     lags = [c for c in sequences.columns if c.startswith("s") and c[1:].isdigit()]
-    parts = features.split_80_20(sequences.dropna(subset=[*lags, "target"]))
+    parts = materialise(features.split_80_20(sequences.dropna(subset=[*lags, "target"])))
     model = Pipeline(
         stages=[
             VectorAssembler(inputCols=lags, outputCol="features"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadspan.operators.kpi import of_vehicles
 from roadspan.operators.loading import latest_by_key, top_per_key
+from roadspan.operators.scaling import materialise
 
 LIVE_ORDER = ["trace_date", "trace_id"]
 
@@ -122,11 +123,27 @@ def journeys_page(
     group_id: int | None = None,
     type_id: int | None = None,
 ) -> DataFrame:
-    """Pages of journeys, newest first, equal ones once."""
-    rows = _journeys(journey, journey_dim, thing_dim, date_dim, thing_id, group_id, type_id)
-    once = rows.groupBy("year", *JOURNEY_FIELDS).agg(F.min("journey_id").alias("journey_id"))
+    """Pages of journeys, newest first, equal ones once.
+
+    Journeys are compared by a digest of their path; the path itself is fetched only
+    for the journeys on the page, its parts put together.
+    """
+    ends = ["start_point", "end_point", "start_time", "end_time"]
+    digests = journey_dim.groupBy("journey_id", *ends).agg(
+        F.sort_array(F.collect_list(F.struct("part", F.sha2("path", 256)))).alias("_digest")
+    )
+    rows = _journeys(journey, digests, thing_dim, date_dim, thing_id, group_id, type_id)
+    shown = [c for c in JOURNEY_FIELDS if c != "path"]
+    once = rows.groupBy("year", "_digest", *shown).agg(F.min("journey_id").alias("journey_id"))
     order = [F.col("start_time").desc(), F.col("journey_id")]
-    return page(once, order, number, size, size).select(*JOURNEY_FIELDS)
+    wanted = materialise(page(once, order, number, size, size).select("journey_id", *shown))
+    # A page holds ``size`` rows, so it is broadcast and the dimension is not shuffled.
+    parts = journey_dim.select("journey_id", "part", "path").join(
+        F.broadcast(wanted.select("journey_id")), "journey_id"
+    )
+    joined = F.array_sort(F.collect_list(F.struct("part", "path")))
+    text = parts.groupBy("journey_id").agg(F.array_join(F.transform(joined, lambda p: p["path"]), ";").alias("path"))
+    return wanted.join(text, "journey_id").orderBy(*order).select(*JOURNEY_FIELDS)
 
 
 def journey_count(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadspan.operators import features, models, orders
+from roadspan.operators.scaling import materialise
 from roadspan.plans.fixtures import Inputs
 from roadspan.plans.oracle import r6
 from roadspan.plans.registry import query, rounded
@@ -204,7 +205,7 @@ def _metrics(i: Inputs) -> DataFrame:
 
 @query("rul_train_score")
 def _rul(i: Inputs) -> DataFrame:
-    rows = models.rul_features(i.trace_src)
+    rows = materialise(models.rul_features(i.trace_src))
     return models.rul_score(models.rul_train(rows), rows)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from roadspan import schemas
 from roadspan.operators import live, models
 from roadspan.operators.loading import latest_by_key
-from roadspan.operators.scaling import shared_folder
+from roadspan.operators.scaling import materialise, shared_folder
 from roadspan.plans.fixtures import VIEWS, Inputs
 from roadspan.plans.oracle import r6
 from roadspan.plans.registry import query, rounded
@@ -121,7 +121,7 @@ def _alert_stream(i: Inputs) -> DataFrame:
 @query("rul_score_stream")
 def _score(i: Inputs) -> DataFrame:
     """The newest row of each vehicle, scored by a model fitted on all rows."""
-    rows = models.rul_features(i.trace_src)
+    rows = materialise(models.rul_features(i.trace_src))
     model = models.rul_train(rows)
     newest = latest_by_key(rows, ["thing_id"], live.EVENT_ORDER)
     return models.rul_score(model, newest).select("thing_id", *live.EVENT_ORDER, "rul")

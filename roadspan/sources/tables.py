@@ -45,31 +45,55 @@ def insert_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType
 
 
 class KeyedTable:
-    """A table whose append is an upsert by key.
-
-    Every batch writes only its own newest row per key, into a folder of its batch
-    number, so a repeated batch replaces itself and a write costs the size of the
-    batch. A read takes the newest row per key over all batches. ``compact`` writes
-    that reading to a new table, from which work goes on.
+    """A table whose append is an upsert by key, for numbered batches 0, 1, 2, …
+
+    Every batch writes only its own newest row per key, into ``changes/batch_id=N``, so
+    a repeated batch replaces itself and a write costs the size of the batch. Every
+    ``full_every`` batches the newest rows over all batches go to ``full/batch_id=N``.
+    The state before a batch is then one full folder and fewer than ``full_every``
+    change folders, addressed by number without listing the others. Folders below the
+    newest full one are no longer needed and may be deleted.
     """
 
-    def __init__(self, path: str, keys: list[str], order: list[str]):
-        self.path, self.keys, self.order = path, keys, order
+    def __init__(self, path: str, keys: list[str], order: list[str], full_every: int = 100):
+        self.path, self.keys, self.order, self.full_every = path, keys, order, full_every
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         newest = latest_by_key(batch, self.keys, self.order)
-        newest.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-
-    def read(self, spark: SparkSession, schema: T.StructType, before: int | None = None) -> DataFrame:
+        newest.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
+        if batch_id % self.full_every == 0:
+            changed = batch.sparkSession.read.schema(batch.schema).parquet(
+                f"{self.path}/changes/batch_id={batch_id}"
+            )
+            before = self._before(batch.sparkSession, batch.schema, batch_id)
+            rows = before.unionByName(changed.withColumn("batch_id", F.lit(batch_id).cast("long")))
+            self._newest(rows).write.mode("overwrite").parquet(f"{self.path}/full/batch_id={batch_id}")
+
+    def read(
+        self, spark: SparkSession, schema: T.StructType, before: int | None = None
+    ) -> DataFrame:
         """Newest rows; with ``before`` only of the batches below that number."""
-        stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        rows = spark.read.schema(stored).option("basePath", self.path).parquet(self.path)
         if before is not None:
-            rows = rows.filter(F.col("batch_id") < before)
-        newest = latest_by_key(rows, self.keys, [*self.order, "batch_id"])
-        return newest.drop("batch_id")
-
-    def compact(self, spark: SparkSession, schema: T.StructType, path: str) -> KeyedTable:
-        smaller = KeyedTable(path, self.keys, self.order)
-        self.read(spark, schema).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
-        return smaller
+            return self._newest(self._before(spark, schema, before))
+        everything = [
+            self._stored(spark, schema, kind, [f"{self.path}/{kind}"]) for kind in ("full", "changes")
+        ]
+        return self._newest(everything[0].unionByName(everything[1]))
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        return latest_by_key(rows, self.keys, [*self.order, "batch_id"]).drop("batch_id")
+
+    def _stored(self, spark, schema: T.StructType, kind: str, paths: list[str]) -> DataFrame:
+        stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        return spark.read.schema(stored).option("basePath", f"{self.path}/{kind}").parquet(*paths)
+
+    def _before(self, spark, schema: T.StructType, batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+            return spark.createDataFrame([], stored)
+        full = (batch_id - 1) // self.full_every * self.full_every
+        rows = self._stored(spark, schema, "full", [f"{self.path}/full/batch_id={full}"])
+        later = [f"{self.path}/changes/batch_id={n}" for n in range(full + 1, batch_id)]
+        if later:
+            rows = rows.unionByName(self._stored(spark, schema, "changes", later))
+        return rows

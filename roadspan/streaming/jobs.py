@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from roadspan import schemas
 from roadspan.functions.scalars import with_date_attributes
@@ -59,12 +60,12 @@ def trace_ingest_job(
     The last speeds are kept as a table of their own with one row per vehicle, so a
     batch does not read the stored trace.
     """
-    stored = _schema(LAST_SPEED_SCHEMA)
+    stored = StructType.fromDDL(LAST_SPEED_SCHEMA)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
-        known = _read_or_empty(spark, speeds, stored, batch_id).select("thing_id", "last_speed")
+        known = speeds.read(spark, stored, before=batch_id).select("thing_id", "last_speed")
         usable = batch.join(known, "thing_id", "left").withColumn(
             "speed",
             F.when(F.col("speed") > live.SPEED_LIMIT, F.col("last_speed")).otherwise(F.col("speed")),
@@ -136,15 +137,3 @@ def alert_job(
 
     return _start(counted, sink, checkpoint, "update", every)
 
-
-def _schema(ddl: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl)
-
-
-def _read_or_empty(spark, table: KeyedTable, schema, before: int) -> DataFrame:
-    """The table before a batch; empty while nothing has been written."""
-    if before == 0:
-        return spark.createDataFrame([], schema)
-    return table.read(spark, schema, before)

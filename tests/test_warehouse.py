@@ -107,9 +107,24 @@ def test_upsert_is_idempotent(spark, tmp_path):
     expected = {1: "again", 2: "c", 3: "d"}
     assert {r.k: r.v for r in table.read(spark, kind).collect()} == expected
     assert {r.k: r.v for r in table.read(spark, kind, before=1).collect()} == {1: "b", 2: "c"}
-    smaller = table.compact(spark, kind, str(tmp_path / "u"))
-    smaller.upsert(spark.createDataFrame([(1, 9, "z")], schema), 2)
-    assert {r.k: r.v for r in smaller.read(spark, kind).collect()} == expected | {1: "z"}
+
+
+def test_upserts_over_many_batches(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ["k"], ["t"], full_every=3)
+    schema = "k INT, t INT, v INT"
+    expected = {}
+    for n in range(8):
+        rows = [(n % 3, n, n), (10 + n, n, n), (99, -n, n)]
+        for _ in range(2 if n in (3, 5) else 1):  # a repeated batch changes nothing
+            table.upsert(spark.createDataFrame(rows, schema), n)
+        before = {r.k: r.v for r in table.read(spark, spark.createDataFrame([], schema).schema, n).collect()}
+        assert before == expected
+        expected |= {n % 3: n, 10 + n: n}
+        expected.setdefault(99, 0)
+    got = table.read(spark, spark.createDataFrame([], schema).schema)
+    assert {r.k: r.v for r in got.collect()} == expected
+    folders = sorted(p.name for p in (tmp_path / "t" / "full").iterdir())
+    assert folders == ["batch_id=0", "batch_id=3", "batch_id=6"]
 
 
 def test_table_replace_append_insert(spark, tmp_path):
