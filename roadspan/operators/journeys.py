@@ -175,49 +175,79 @@ def journey_measures(journeys: DataFrame) -> DataFrame:
 
 
 def journey_speed_stats(
-    trace: DataFrame,
-    journeys: DataFrame,
-    moving_only: bool = False,
-    cell_seconds: int = 86400,
-    cuts: Cuts = AUTO,
+    trace: DataFrame, journeys: DataFrame, moving_only: bool = False, cuts: Cuts = AUTO
 ) -> DataFrame:
     """Mean and top speed over all raw rows of the vehicle within the journey's times.
 
-    A range join on (vehicle, time cell): journeys are listed under each cell they
-    touch, so a row meets only the journeys of its own cell. Rows of equal vehicle
-    and second are summed up first. Without a large vehicle that sum and the join
-    share one shuffle; with one, the sum combines before a shuffle of its own, which
-    takes copies out, and adaptive execution splits what is still skewed in the join.
+    Journeys of a vehicle follow each other, so a row is inside the newest journey that
+    has started, and beside it only inside journeys that end in the row's very second.
+    Both are running values over the vehicle's rows mixed with journey starts and ends:
+    the work grows with rows plus journeys, however dense the journeys of a vehicle.
+    With a large vehicle the rows are summed per second first, which takes copies out.
     """
     if moving_only:
         trace = trace.filter(F.col("max_speed") > 0)
-    cell = F.floor(F.unix_seconds("trace_date") / cell_seconds)
-    celled = trace.select("thing_id", "trace_date", "speed").withColumn("_cell", cell)
-    if cuts_for(trace, ["thing_id"], "trace_date", cuts) is None:
-        celled = celled.repartition("thing_id", "_cell")
-    speeds = celled.groupBy("thing_id", "_cell", "trace_date").agg(
-        F.sum("speed").alias("_sum"), F.count("speed").alias("_count"), F.max("speed").alias("_max")
-    )
-    spans = journeys.select(
-        "journey_id",
+    cuts = cuts_for(trace, ["thing_id"], "trace_date", cuts)
+    speed = F.col("speed").cast("double")
+    sums = [F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"), F.max("_max").alias("_max")]
+    rows = trace.select(
         "thing_id",
-        "start_time",
-        "end_time",
-        F.explode(
-            F.sequence(
-                F.floor(F.unix_seconds("start_time") / cell_seconds),
-                F.floor(F.unix_seconds("end_time") / cell_seconds),
-            )
-        ).alias("_cell"),
+        "trace_date",
+        speed.alias("_sum"),
+        F.when(speed.isNotNull(), 1).otherwise(0).cast("long").alias("_count"),
+        speed.alias("_max"),
+    )
+    if cuts is not None:
+        rows = rows.groupBy("thing_id", "trace_date").agg(*sums)
+
+    # Within a second come the ends, then the starts (the longest journey last), then
+    # the rows.
+    starts = journeys.select(
+        "thing_id", F.col("start_time").alias("trace_date"), F.lit(1).alias("_kind"),
+        F.col("end_time").alias("_until"), F.col("journey_id").alias("_id"),
+    )
+    ends = journeys.select("thing_id", F.col("end_time").alias("trace_date"), F.lit(0).alias("_kind"))
+    mixed = (
+        rows.withColumn("_kind", F.lit(2))
+        .unionByName(starts, allowMissingColumns=True)
+        .unionByName(ends, allowMissingColumns=True)
+    )
+    newest = F.when(F.col("_kind") == 1, F.struct("_id", "_until"))
+    ended = F.when(F.col("_kind") == 0, F.col("trace_date"))
+    placed = (
+        Timeline(mixed, ["thing_id"], ["trace_date", "_kind", "_until", "_id"], cuts)
+        .running({"_newest": ("last", newest), "_ended": ("last", ended)})
+        .df.filter(F.col("_kind") == 2)
+    )
+    # One row per journey and per second in which a journey ends.
+    summed = materialise(
+        placed.select(
+            "thing_id",
+            F.col("_newest._id").alias("_newest_id"),
+            (F.col("trace_date") <= F.col("_newest._until")).alias("_inside"),
+            F.when(F.col("_ended") == F.col("trace_date"), F.col("trace_date")).alias("_end_second"),
+            "_sum", "_count", "_max",
+        )
+        .filter(F.col("_inside") | F.col("_end_second").isNotNull())
+        .groupBy("thing_id", "_newest_id", "_inside", "_end_second")
+        .agg(*sums)
+    )
+    parts = ["journey_id", "_sum", "_count", "_max"]
+    inside = summed.filter("_inside").withColumnRenamed("_newest_id", "journey_id").select(*parts)
+    ending = (
+        summed.filter("_end_second IS NOT NULL")
+        .join(
+            journeys.select("journey_id", "thing_id", F.col("end_time").alias("_end_second")),
+            ["thing_id", "_end_second"],
+        )
+        .filter(F.col("journey_id") != F.col("_newest_id"))
+        .select(*parts)
     )
-    inside = (F.col("trace_date") >= F.col("start_time")) & (F.col("trace_date") <= F.col("end_time"))
     stats = (
-        speeds.join(spans, ["thing_id", "_cell"])
-        .filter(inside)
+        inside.unionByName(ending)
         .groupBy("journey_id")
         .agg(
-            (F.sum("_sum") / F.sum("_count")).alias("avg_speed"),
-            F.max("_max").cast("double").alias("max_speed"),
+            (F.sum("_sum") / F.sum("_count")).alias("avg_speed"), F.max("_max").alias("max_speed")
         )
     )
     return journeys.select("journey_id", "thing_id").join(stats, "journey_id", "left")

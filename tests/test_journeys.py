@@ -93,20 +93,21 @@ def test_first_row_open_journey_and_missing_odometer(spark):
     ]
 
 
-def test_speed_stats_over_long_journeys_and_copies(spark):
+def test_speed_stats_over_long_journeys_and_copies(spark, slicing):
     trace = [(1, at(m), m) for m in range(0, 5 * 1440, 60)] + [(1, at(60), 60)] + [(2, at(60), 999)]
     frame = spark.createDataFrame(trace, "thing_id INT, trace_date TIMESTAMP, speed INT")
-    spans = [(7, 1, at(0), at(120)), (8, 1, at(120), at(4 * 1440)), (9, 3, at(0), at(1))]
+    # Touching journeys, two of no length in one second, and one of another vehicle.
+    spans = [(7, 1, at(0), at(120)), (8, 1, at(120), at(120)), (9, 1, at(120), at(120)),
+             (10, 1, at(120), at(4 * 1440)), (11, 1, at(5000 + 1440), at(6800)), (12, 3, at(0), at(1))]
     found = journeys.journey_speed_stats(
         frame,
         spark.createDataFrame(spans, "journey_id BIGINT, thing_id INT, start_time TIMESTAMP, end_time TIMESTAMP"),
-        cell_seconds=3600,
     )
     got = {r.journey_id: (r.avg_speed, r.max_speed) for r in found.collect()}
     for journey_id, thing, start, end in spans:
         inside = [s for t, when, s in trace if t == thing and start <= when <= end]
         expected = (sum(inside) / len(inside), max(inside)) if inside else (None, None)
-        assert got[journey_id] == expected
+        assert got[journey_id] == expected, journey_id
 
 
 def test_moving_rows_only(spark):
