@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadspan.operators.scaling import broadcast_if_small
+from roadspan.operators.scaling import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    estimated_bytes,
+    materialise,
+)
 
 UNKNOWN = "default"  # fixed value for a position outside all boxes
 PLACE_FIELDS = ["town", "state", "country"]
@@ -58,21 +61,25 @@ def place_lookup(
     a larger one is joined on the cell, where adaptive execution splits hot cells.
     """
     cells = boxes_by_cell(gazetteer, step)
-    # At most one level per doubling of the box size, so this list is short.
-    levels = [r[0] for r in gazetteer.select(_level(step)).distinct().collect()]
+    if estimated_bytes(gazetteer) > BROADCAST_BYTES:
+        cells = materialise(cells)
+    # One row per level, and one level per doubling of the box size: a short list.
+    sizes = {r["_level"]: r["count"] for r in cells.groupBy("_level").count().collect()}
     lat, lon = F.col(latitude), F.col(longitude)
     found = []
-    for level in sorted(x for x in levels if x is not None):
+    for level in sorted(sizes):
         size = step * 2.0**level
         side = cells.filter(F.col("_level") == level).select(
             F.col("_y").alias(f"_y{level}"),
             F.col("_x").alias(f"_x{level}"),
             F.col("_boxes").alias(f"_boxes{level}"),
         )
+        if sizes[level] <= BROADCAST_ROWS:
+            side = F.broadcast(side)
         points = (
             points.withColumn(f"_y{level}", _cell(lat, size))
             .withColumn(f"_x{level}", _cell(lon, size))
-            .join(broadcast_if_small(side), [f"_y{level}", f"_x{level}"], "left")
+            .join(side, [f"_y{level}", f"_x{level}"], "left")
         )
         holds = F.filter(
             f"_boxes{level}",
@@ -82,10 +89,8 @@ def place_lookup(
     if not found:
         return points.withColumns({prefix + f: F.lit(UNKNOWN) for f in PLACE_FIELDS})
     points = points.withColumns({f"_hit{level}": hit for level, hit in found})
-    best = reduce(
-        lambda a, b: F.when(a.isNull() | (b["area"] < a["area"]), b).otherwise(a),
-        [F.col(f"_hit{level}") for level, _ in found],
-    )
+    # Boxes compare by their first field, the area; NULL hits are skipped.
+    best = F.array_min(F.array(*[F.col(f"_hit{level}") for level, _ in found]))
     points = points.withColumn("_best", best).withColumns(
         {prefix + f: F.coalesce(F.col(f"_best.{f}"), F.lit(UNKNOWN)) for f in PLACE_FIELDS}
     )

@@ -103,7 +103,7 @@ def alerts_by_type(alert_fact: DataFrame, alert_degree_dim: DataFrame) -> DataFr
 
 JOURNEY_FIELDS = [
     "thing_id", "active_time", "avg_speed", "max_speed",
-    "start_point", "end_point", "start_time", "end_time", "path",
+    "start_point", "end_point", "start_time", "end_time", "part", "path",
 ]
 
 
@@ -125,25 +125,27 @@ def journeys_page(
 ) -> DataFrame:
     """Pages of journeys, newest first, equal ones once.
 
-    Journeys are compared by a digest of their path; the path itself is fetched only
-    for the journeys on the page, its parts put together.
+    Journeys are compared by digests of their path, which combine before a shuffle; the
+    path itself is fetched only for the journeys on the page, one row per part.
     """
     ends = ["start_point", "end_point", "start_time", "end_time"]
-    digests = journey_dim.groupBy("journey_id", *ends).agg(
-        F.sort_array(F.collect_list(F.struct("part", F.sha2("path", 256)))).alias("_digest")
+    digests = ["_digest1", "_digest2"]
+    compared = journey_dim.groupBy("journey_id", *ends).agg(
+        F.bit_xor(F.xxhash64("part", "path")).alias("_digest1"),
+        F.bit_xor(F.xxhash64(F.lit("path"), "path", "part")).alias("_digest2"),
     )
-    rows = _journeys(journey, digests, thing_dim, date_dim, thing_id, group_id, type_id)
-    shown = [c for c in JOURNEY_FIELDS if c != "path"]
-    once = rows.groupBy("year", "_digest", *shown).agg(F.min("journey_id").alias("journey_id"))
+    rows = _journeys(journey, compared, thing_dim, date_dim, thing_id, group_id, type_id)
+    shown = [c for c in JOURNEY_FIELDS if c not in ("part", "path")]
+    once = rows.groupBy("year", *digests, *shown).agg(F.min("journey_id").alias("journey_id"))
     order = [F.col("start_time").desc(), F.col("journey_id")]
     wanted = materialise(page(once, order, number, size, size).select("journey_id", *shown))
     # A page holds ``size`` rows, so it is broadcast and the dimension is not shuffled.
-    parts = journey_dim.select("journey_id", "part", "path").join(
-        F.broadcast(wanted.select("journey_id")), "journey_id"
+    return (
+        journey_dim.select("journey_id", "part", "path")
+        .join(F.broadcast(wanted), "journey_id")
+        .orderBy(*order, "part")
+        .select(*JOURNEY_FIELDS)
     )
-    joined = F.array_sort(F.collect_list(F.struct("part", "path")))
-    text = parts.groupBy("journey_id").agg(F.array_join(F.transform(joined, lambda p: p["path"]), ";").alias("path"))
-    return wanted.join(text, "journey_id").orderBy(*order).select(*JOURNEY_FIELDS)
 
 
 def journey_count(

@@ -283,7 +283,7 @@ def _fuel_total_group(i: Inputs) -> DataFrame:
 @query(
     "journeys_page",
     f"""SELECT f.thing_id, {r6('f.active_time', 'active_time')}, {r6('f.avg_speed', 'avg_speed')},
-    f.max_speed, start_point, end_point, start_time, end_time, path
+    f.max_speed, start_point, end_point, start_time, end_time, part, path
     FROM jfact f JOIN jdim m ON f.journey_id = m.journey_id JOIN thing_dim t ON f.thing_id = t.thing_id
     ORDER BY start_time DESC, f.journey_id LIMIT 5""",
 )
