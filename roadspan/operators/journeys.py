@@ -329,7 +329,9 @@ class JourneyRun:
     @cached_property
     def rows(self) -> DataFrame:
         rows = segment_rows(self.source, self.cuts)
-        return materialise(rows) if self.keep_rows else rows
+        if not self.keep_rows:
+            return rows
+        return materialise(rows.drop("engine_status", "prev_engine_status", "speed"))
 
     @cached_property
     def numbered(self) -> DataFrame:
