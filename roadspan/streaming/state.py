@@ -8,10 +8,12 @@ the source bounds.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -19,6 +21,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from roadspan.functions.scalars import EARTH_RADIUS_KM
 from roadspan.operators.live import FUEL_PER_EVENT, ROLLING_BEFORE
 
+# The fold travels to the executors by value, so they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WINDOW = ROLLING_BEFORE + 1
 
 STATE = (
