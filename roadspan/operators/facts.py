@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -63,7 +65,12 @@ def trace_with_prev(
 
     counted = rows.groupBy(*TRACE_COLUMNS).agg(F.count("*").alias("_copies"))
     timeline = Timeline(counted, ["thing_id"], TRACE_ORDER, cuts).frame(1, 0, previous)
-    both = F.when(F.col("_copies") > 1, F.array(F.lit(False), F.lit(True))).otherwise(
+    # A first copy that already has its own time and position as previous (another row
+    # of that second and place is before it) is equal to the further copies.
+    apart = ~reduce(
+        and_, [F.col(name).eqNullSafe(F.col(source)) for name, source in PREVIOUS.items()]
+    )
+    both = F.when((F.col("_copies") > 1) & apart, F.array(F.lit(False), F.lit(True))).otherwise(
         F.array(F.lit(False))
     )
     return (

@@ -24,6 +24,9 @@ def trace_rows(seed, n=200):
     for k in range(n):
         when = START + dt.timedelta(minutes=rng.randrange(3 * 1440))
         rows.append((1 if k % 3 else 2, when, when.date(), k % 2, 36 + rng.random(), 3 + rng.random(), k))
+    # Rows of one second and place that differ in speed only, some of them copied.
+    when = START + dt.timedelta(minutes=777)
+    rows += [(1, when, when.date(), 1, 36.5, 3.5, v) for v in (5, 6, 6, 6, 7, 7)]
     # One row has very many copies, others two or three.
     return rows + [rows[5]] * 150 + rows[:20] + rows[:10]
 
