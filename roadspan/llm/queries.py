@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspan.llm import content_sort, simhash
+from roadspan.llm import content_sort, simhash, spaced_seeds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,51 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spaced_seeds.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def _masked(shape: str) -> str:
+    read = [f"w[p + {k}]" for k, c in enumerate(shape) if c == "1"]
+    return f"CASE WHEN p + {len(shape) - 1} <= len(w) THEN concat_ws(' ', '{shape}', {', '.join(read)}) END"
+
+
+# The same seeds as text; every item of the given tables has 13 tokens or more.
+ORACLES["op9_spaced_seeds"] = rf"""
+WITH d AS (
+    SELECT doc_id AS id, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM documents
+), b AS (
+    SELECT item_id AS id, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM benchmark
+), dp AS (SELECT id, w, unnest(range(1, len(w) + 1)) AS p FROM d
+), bp AS (SELECT id, w, unnest(range(1, len(w) + 1)) AS p FROM b
+), ds AS (SELECT id, p, unnest([{", ".join(map(_masked, spaced_seeds.MASKS))}]) AS seed FROM dp
+), bs AS (SELECT id, p, unnest([{", ".join(map(_masked, spaced_seeds.MASKS))}]) AS seed FROM bp
+), hits AS (
+    SELECT DISTINCT ds.id AS doc_id, bs.id AS item_id, ds.p - bs.p AS shift FROM ds JOIN bs USING (seed)
+), cells AS (
+    SELECT h.doc_id, h.item_id, h.shift, d.w AS dw, b.w AS bw, unnest(range(1, len(b.w) + 1)) AS k
+    FROM hits h JOIN d ON d.id = h.doc_id JOIN b ON b.id = h.item_id
+), flags AS (
+    SELECT doc_id, item_id, shift, k,
+           CASE WHEN k + shift >= 1 AND dw[k + shift] = bw[k] THEN 1 ELSE 0 END AS same, len(bw) AS n FROM cells
+), sums AS (
+    SELECT doc_id, item_id, shift, k, n,
+           sum(same) OVER (PARTITION BY doc_id, item_id, shift ORDER BY k ROWS BETWEEN CURRENT ROW AND {spaced_seeds.WINDOW - 1} FOLLOWING) AS matches
+    FROM flags
+), good AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matches DESC, shift + k) AS place
+    FROM sums WHERE k + {spaced_seeds.WINDOW - 1} <= n AND matches >= {spaced_seeds.MATCHES}
+)
+SELECT doc_id, item_id, CAST(matches AS BIGINT) AS matches, CAST({spaced_seeds.WINDOW} AS BIGINT) AS "window",
+       CAST(shift + k - 1 AS BIGINT) AS pos
+FROM good WHERE place = 1
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
