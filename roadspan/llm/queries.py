@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspan.llm import content_sort, simhash, spaced_seeds
+from roadspan.llm import content_sort, merge_replay, nb_linear, simhash, spaced_seeds
+from roadspan.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +23,27 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op2_nb_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = nb_linear.fit(docs, table(spark, sf_dir, "labels"))
+    return nb_linear.scores(docs, model).select(
+        F.col("id").alias("doc_id"),
+        (crc_remainder("id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op4_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return merge_replay.encode(docs, ranks, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = content_sort.exact_groups(table(spark, sf_dir, "documents"))
