@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspan.llm import content_sort, merge_replay, nb_linear, simhash, spaced_seeds
+from roadspan.llm import blob_ledger, content_sort, deobfuscation, merge_replay, nb_linear, simhash, spaced_seeds
 from roadspan.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,61 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def _digest(found: DataFrame, base: str, spans: str, base_kinds: tuple[str, ...], kinds: tuple[str, ...]) -> DataFrame:
+    """Counts per base kind, the hash of the base spans, and all spans as text."""
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.expr(f"filter({base}, s -> s.kind_no = {k})")).cast("long").alias(f"n_{kind}")
+            for k, kind in enumerate(base_kinds)
+        ],
+        F.sha2(blob_ledger.listed(base, kinds).cast("binary"), 256).alias("base_sha256"),
+        blob_ledger.listed(spans, kinds).alias("spans"),
+    )
+
+
+@query
+def op1_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = blob_ledger.scan(table(spark, sf_dir, "documents")).withColumnRenamed("path", "doc_id")
+    kinds = tuple(r.kind for r in blob_ledger.RULES)
+    base = F.filter("spans", lambda s: s["kind_no"] < len(blob_ledger.BASE))
+    return _digest(found.withColumn("base", base), "base", "spans", blob_ledger.BASE, kinds)
+
+
+def _places(n: int, rule: blob_ledger.Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""list_filter(list_transform(range(1, len(regexp_extract_all(t, '{pattern}')) + 1), lambda i: {{
+        'a': list_sum(list_transform(string_split_regex(t, '{pattern}')[1:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(regexp_extract_all(t, '{pattern}')[1:i - 1], lambda x: length(x))), 0),
+        'k': {n}, 'n': length(regexp_extract_all(t, '{pattern}')[i]),
+        's': length(regexp_extract_all(t, '{pattern}', {rule.group})[i])}}), lambda x: x.s >= {rule.least})"""
+
+
+def _written(rows: str) -> str:
+    kinds = ", ".join(f"'{r.kind}'" for r in blob_ledger.RULES)
+    one = f"[{kinds}][x.k + 1] || ':' || x.a::BIGINT || ':' || (x.a + x.n)::BIGINT"
+    return f"coalesce(array_to_string(list_transform(list_sort({rows}), lambda x: {one}), ','), '')"
+
+
+ORACLES["op1_blob_ledger"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+), m AS (
+    SELECT doc_id, {", ".join(f"{_places(n, r)} AS r{n}" for n, r in enumerate(blob_ledger.RULES))} FROM d
+)
+SELECT doc_id, len(r0) AS n_assign, len(r1) AS n_access, len(r2) AS n_hex,
+       sha256({_written("list_concat(r0, list_concat(r1, r2))")}) AS base_sha256,
+       {_written("list_concat(r0, list_concat(r1, list_concat(r2, list_concat(r3, r4))))")} AS spans
+FROM m
+"""
+
+
+@query
+def op3_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deobfuscation.find(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    spans = F.array_sort(F.concat("base", "added"))
+    return _digest(found.withColumn("spans", spans), "base", "spans", deobfuscation.KINDS, deobfuscation.KINDS)
+
+
 @query
 def op2_nb_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
