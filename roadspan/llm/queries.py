@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspan.llm import blob_ledger, content_sort, deobfuscation, merge_replay, nb_linear, simhash, spaced_seeds
+from roadspan.llm import blob_ledger, content_sort, crf, deobfuscation, flow_shards, merge_replay, nb_linear, simhash, spaced_seeds
 from roadspan.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,34 @@ def op4_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_replay.encode(docs, ranks, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op5_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return crf.predict(docs, crf.fit(docs)).select(
+        F.col("id").alias("doc_id"),
+        (crc_remainder("id", 4) == 2).alias("held_out"),
+        "lang_pred",
+        "score",
+        "switches",
+    )
+
+
+@query
+def op7_flow_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old layout keeps each source in one shard, so that shards differ widely."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    old = F.pmod(F.xxhash64("source"), F.lit(8))
+    return flow_shards.rewrite(docs, old, 8).select(
+        "row.doc_id",
+        (F.coalesce(F.octet_length("row.text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = content_sort.exact_groups(table(spark, sf_dir, "documents"))
