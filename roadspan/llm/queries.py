@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspan.llm import blob_ledger, content_sort, crf, deobfuscation, flow_shards, merge_replay, nb_linear, simhash, spaced_seeds
+from roadspan.llm import blob_ledger, content_sort, context_mixing, crf, deobfuscation, flow_shards, merge_replay, nb_linear, simhash, spaced_seeds
 from roadspan.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,6 +198,16 @@ FROM good WHERE place = 1
 """
 
 
+@query
+def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = context_mixing.write_ids(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1
+    )
+    return context_mixing.read_ids(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
