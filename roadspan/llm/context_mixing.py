@@ -27,7 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_IDS = 4096
 BLOCKS_PER_ROW = 1024
-TABLE_BITS = 12
+TABLE_BITS = 10
 CHANCE_BITS = 12
 SEEN_WORDS = 300_000
 CHUNK_CHARS = 2_000_000
