@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadspan.functions.scalars import json_field, key_draw
-from roadspan.operators.timeline import AUTO, Cuts, Timeline, cuts_for, hot_cuts
+from roadspan.operators.timeline import AUTO, Cuts, Timeline, cuts_for, hot_cuts, join_null_safe
 
 ORDER = ["date_insertion", "trace_id"]
 
@@ -52,7 +52,7 @@ def group_mean_joinback(df: DataFrame, cuts: Cuts = AUTO) -> DataFrame:
     mean = F.avg("power_supply_voltage")
     if cuts_for(df, ["thing_id"], ORDER[0], cuts) is None:
         return df.withColumn("daily_avg_voltage", mean.over(Window.partitionBy(*keys)))
-    return df.join(df.groupBy(*keys).agg(mean.alias("daily_avg_voltage")), keys, "left")
+    return join_null_safe(df, df.groupBy(*keys).agg(mean.alias("daily_avg_voltage")), keys)
 
 
 def engine_alert_flag(df: DataFrame) -> DataFrame:

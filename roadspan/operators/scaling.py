@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
+SMALL_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 500_000
 
@@ -62,12 +62,12 @@ def dense_ids(
     """Number the rows 1, 2, 3 … in ``order``, continuing after ``start``.
 
     ``order`` must identify a row. A frame of proven small size (``bounded`` or by
-    estimate) is numbered by one window. A larger one is range-partitioned, sorted
+    a count) is numbered by one window. A larger one is range-partitioned, sorted
     and written to the checkpoint folder with its position in the partition; the
     partition sizes then give each partition its offset, so no task sees the whole.
     """
     start = F.lit(start) if isinstance(start, int) else start
-    if bounded or estimated_bytes(df) <= SMALL_INPUT_BYTES:
+    if bounded or df.count() <= SMALL_ROWS:
         position = F.row_number().over(Window.orderBy(*order))
         return df.withColumn(id_col, (position + start).cast("long"))
 

@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 
 from roadspan.operators.scaling import (
     BROADCAST_ROWS,
-    SMALL_INPUT_BYTES,
-    estimated_bytes,
     materialise,
 )
 
@@ -33,6 +31,7 @@ ROWS_PER_SLICE = 2_000_000
 ROWS_PER_SLICE_CONF = "spark.roadspan.rowsPerSlice"
 
 # Slice widths in seconds; each divides a day, so no slice crosses midnight.
+NO_TIME = -(1 << 62)
 WIDTHS = [86400, 43200, 21600, 10800, 3600, 1800, 600, 300, 60, 30, 10, 5, 1]
 
 
@@ -41,33 +40,43 @@ def hot_cuts(
 ) -> DataFrame | None:
     """(keys, day, slice width) for the keys that need slicing; None when there are none.
 
-    A frame whose total estimated size is small cannot hold a large key, so nothing
-    is counted then. Otherwise the rows are counted per key and day, which reads
-    only these two columns and combines before the shuffle.
+    A frame with no more rows than a slice may have cannot hold a large key, so nothing
+    else is counted then. Otherwise the rows are counted per key and minute, which reads
+    only these two columns and combines before the shuffle. The width is the largest at
+    which no slice of that day holds more rows than asked; where one minute does, it is
+    a second. Rows without a time are one slice, a NULL key is a key like any other.
     """
     spark = df.sparkSession
     if rows_per_slice is None:
         configured = spark.conf.get(ROWS_PER_SLICE_CONF, None)
-        rows_per_slice = int(configured) if configured else None
-    if rows_per_slice is None:
-        if estimated_bytes(df) <= SMALL_INPUT_BYTES:
-            return None
-        rows_per_slice = ROWS_PER_SLICE
-
-    per_day = df.groupBy(*keys, _utc_day(ts).alias("_day")).agg(F.count("*").alias("_rows"))
-    width = reduce(
-        lambda otherwise, w: F.when(F.col("_rows") * w <= F.lit(86400 * rows_per_slice), w).otherwise(
-            otherwise
-        ),
-        reversed(WIDTHS),
-        F.lit(1),
-    )
-    cuts = materialise(
-        per_day.withColumn("_total", F.sum("_rows").over(Window.partitionBy(*keys)))
+        rows_per_slice = int(configured) if configured else ROWS_PER_SLICE
+    if df.count() <= rows_per_slice:
+        return None
+
+    seconds = F.unix_seconds(ts)
+    per_minute = df.groupBy(
+        *keys, _utc_day(ts).alias("_day"), F.floor(F.pmod(seconds, F.lit(86400)) / 60).alias("_minute")
+    ).agg(F.count("*").alias("_rows"))
+    hot = materialise(
+        per_minute.withColumn("_total", F.sum("_rows").over(Window.partitionBy(*keys)))
         .filter(F.col("_total") > rows_per_slice)
-        .select(*keys, "_day", width.alias("_width"))
+        .drop("_total")
+    )
+    if hot.isEmpty():
+        return None
+    wide = F.array(*[F.lit(w) for w in WIDTHS if w >= 60])
+    fits = (
+        hot.select("*", F.explode(wide).alias("_w"))
+        .groupBy(*keys, "_day", "_w", F.floor(F.col("_minute") * 60 / F.col("_w")).alias("_bucket"))
+        .agg(F.sum("_rows").alias("_rows"))
+        .groupBy(*keys, "_day", "_w")
+        .agg(F.max("_rows").alias("_most"))
+    )
+    return materialise(
+        fits.groupBy(*keys, "_day").agg(
+            F.coalesce(F.max(F.when(F.col("_most") <= rows_per_slice, F.col("_w"))), F.lit(1)).alias("_width")
+        )
     )
-    return None if cuts.isEmpty() else cuts
 
 
 # Stands for "count the rows of the frame itself". A step that works on the result of
@@ -96,10 +105,11 @@ class Timeline:
             if cuts.count() <= BROADCAST_ROWS:
                 cuts = F.broadcast(cuts)
             seconds = F.unix_seconds(order[0])
+            # A slice of NULL marks a key that is not hot; hot rows without a time come first.
+            start = F.coalesce(seconds - F.pmod(seconds, F.col("_width")), F.lit(NO_TIME))
             df = (
-                df.withColumn("_day", _utc_day(order[0]))
-                .join(cuts, [*keys, "_day"], "left")
-                .withColumn("_slice", seconds - F.pmod(seconds, F.col("_width")))
+                join_null_safe(df.withColumn("_day", _utc_day(order[0])), cuts, [*keys, "_day"])
+                .withColumn("_slice", F.when(F.col("_width").isNotNull(), start))
                 .drop("_day", "_width")
             )
         self._df = df
@@ -198,7 +208,7 @@ class Timeline:
                 for name, (kind, _) in values.items()
             ],
         )
-        joined = rows.join(carry, [*self.keys, "_slice"], "left")
+        joined = join_null_safe(rows, carry, [*self.keys, "_slice"])
         merged = {
             name: _merge(kind, F.col(f"_carry_{name}"), F.col(name))
             for name, (kind, _) in values.items()
@@ -215,7 +225,16 @@ class Timeline:
         whole = self._df.groupBy(*self.keys).agg(
             *[_fold(kind, col).alias(name) for name, (kind, col) in values.items()]
         )
-        return self._with(self._df.join(whole, self.keys, "left"))
+        return self._with(join_null_safe(self._df, whole, self.keys))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join in which a NULL key meets a NULL key; the keys stay those of ``left``."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(
+        lambda a, b: a & b, [left[k].eqNullSafe(named[f"_right_{k}"]) for k in keys]
+    )
+    return left.join(named, same, "left").drop(*[f"_right_{k}" for k in keys])
 
 
 def _utc_day(ts: str) -> Column:

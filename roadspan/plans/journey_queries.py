@@ -170,9 +170,11 @@ def _path_clean(i: Inputs) -> DataFrame:
 
 
 def emptied(dim: DataFrame) -> DataFrame:
-    """The dimension as it is after a run that left short paths empty."""
-    points = F.size(F.split("path", ";"))
-    return dim.withColumn("path", F.when(points < 3, F.lit("")).otherwise(F.col("path")))
+    """The dimension as it is after a run that left short paths empty, over all their parts."""
+    points = dim.groupBy("journey_id").agg(F.sum(F.size(F.split("path", ";"))).alias("_points"))
+    return dim.join(points, "journey_id").withColumn(
+        "path", F.when(F.col("_points") < 3, F.lit("")).otherwise(F.col("path"))
+    ).drop("_points")
 
 
 @query("delete_empty_paths", "SELECT journey_id, path FROM jdim WHERE n_points >= 3")

@@ -49,9 +49,9 @@ def _trace_ingest(i: Inputs) -> DataFrame:
     )
 
 
-@query("last_known_speed", "SELECT thing_id, speed AS last_speed FROM stored_speed")
+@query("last_known_speed", "SELECT thing_id, speed AS last_speed FROM latest_speed")
 def _last_known_speed(i: Inputs) -> DataFrame:
-    return live.last_known_speed(stored(i))
+    return live.last_known_speed(i.trace_src)
 
 
 @query(
@@ -99,10 +99,10 @@ def _rolling(i: Inputs) -> DataFrame:
 
 @query(
     "latest_row_per_vehicle",
-    f"SELECT thing_id, trace_date, trace_id, {STATS_SQL} FROM stored_stats",
+    f"SELECT thing_id, trace_date, trace_id, {STATS_SQL} FROM latest_stats",
 )
 def _latest(i: Inputs) -> DataFrame:
-    return rounded(live.latest_row_per_vehicle(live.rolling_sensor_stats(stored(i))), *STATS)
+    return rounded(live.latest_row_per_vehicle(live.rolling_sensor_stats(i.trace_src)), *STATS)
 
 
 @query(

@@ -166,6 +166,8 @@ WINDOW w AS (PARTITION BY thing_id ORDER BY trace_date, trace_id ROWS BETWEEN 30
     "stored_stats": newest(
         f"(SELECT * FROM rolling_stats WHERE trace_date_day < {AS_OF_SQL})", "thing_id"
     ),
+    "latest_stats": newest("rolling_stats", "thing_id"),
+    "latest_speed": newest("trace_src", "thing_id"),
     "stored_speed": newest(f"(SELECT * FROM trace_src WHERE trace_date_day < {AS_OF_SQL})", "thing_id"),
     "placed_alerts": """
 SELECT a.*, coalesce(g.town, 'default') AS town, coalesce(g.state, 'default') AS state,

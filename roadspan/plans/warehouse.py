@@ -61,8 +61,9 @@ def _conform(i: Inputs) -> DataFrame:
 def _upsert(i: Inputs) -> DataFrame:
     columns = ["thing_id", "trace_date", "speed", "latitude", "longitude", "trace_id"]
     older = i.trace_src.filter(F.col("trace_date_day") < F.lit(AS_OF)).select(*columns)
+    newer = i.trace_src.filter(F.col("trace_date_day") >= F.lit(AS_OF))
     return loading.upsert(
-        older, i.today.select(*columns), ["thing_id"], ["trace_date", "trace_id"]
+        older, newer.select(*columns), ["thing_id"], ["trace_date", "trace_id"]
     )
 
 

@@ -5,7 +5,7 @@ from roadspan.operators import scaling
 
 
 def test_dense_ids_over_partitions(spark, monkeypatch):
-    monkeypatch.setattr(scaling, "SMALL_INPUT_BYTES", -1)
+    monkeypatch.setattr(scaling, "SMALL_ROWS", -1)
     frame = spark.range(0, 1000, 1, 16).select((F.col("id") * 7919 % 1000).alias("k"))
     got = scaling.dense_ids(frame, "n", [F.col("k")], 100).collect()
     assert sorted((r.k, r.n) for r in got) == [(k, 101 + k) for k in range(1000)]

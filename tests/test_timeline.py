@@ -119,3 +119,31 @@ def test_within(data, slicing):
         for row in rows:
             assert found[(k, row[1], row[2])] == last[row[2] % 2]
             last[row[2] % 2] = row[2]
+
+
+def test_null_times_null_keys_and_bursts(spark):
+    """Plain and sliced agree, and a burst within minutes is cut."""
+    rng = random.Random(9)
+    rows = []
+    for key in (1, None):
+        rows += [(key, START + dt.timedelta(seconds=rng.randrange(240)), n, n % 4) for n in range(300)]
+        rows += [(key, None, 300 + n, n % 3) for n in range(5)]
+    rows += [(2, START, n, 1) for n in range(3)]
+    frame = spark.createDataFrame(rows, "k INT, ts TIMESTAMP, id INT, v INT")
+    cuts = hot_cuts(frame, ["k"], "ts", rows_per_slice=100)
+    assert {r.k for r in cuts.collect()} == {1, None}
+
+    def values(cut):
+        done = (
+            Timeline(frame, ["k"], ORDER, cut)
+            .frame(1, 0, lambda w: {"before": F.lag("v").over(w)})
+            .running({"n": ("count", F.lit(1)), "s": ("sum", F.col("v"))})
+            .totals({"all": ("count", F.lit(1))})
+        )
+        return sorted(map(repr, done.df.collect())), done
+
+    plain, _ = values(None)
+    sliced, done = values(cuts)
+    assert plain == sliced
+    sizes = done._df.filter("_slice is not null").groupBy("k", "_slice").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 200
