@@ -118,7 +118,7 @@ def _rewrites(text: str) -> list[tuple[int, int, str]]:
 
 
 def disguised(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans that only the rewritten text shows, in source characters, clear of ``plain``."""
+    """Spans that only the rewritten text shows, in source characters; none inside one of ``plain``."""
     edits = [] if text.isascii() else [(m.start(), m.end(), HOMOGLYPHS[m[0]]) for m in _GLYPH.finditer(text)]
     if edits:
         source, glyphs = text, edits
@@ -151,7 +151,7 @@ def disguised(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int, i
         if k == len(changed) or changed[k] >= end:
             continue
         a, b = origin(start, False), origin(end, True)
-        if not any(x < b and a < y for x, _, y in plain):
+        if not any(k == kind and x <= a and b <= y for x, k, y in plain):
             found.append((a, kind, b))
     return found
 

@@ -71,15 +71,23 @@ def min_cost_flow(supply: dict, demand: dict, cost: dict) -> dict:
 def solve(blocks: list[tuple[int, int, int, int]], shards: int) -> list[tuple[int, int, int, int]]:
     """Ranges (old shard, first rank, end rank, new shard) from blocks (old, block, rows, bytes).
 
-    Ranks count the rows of an old shard by size from the smallest. Shards that hold most
-    keep the odd rows. Old shards beyond the new ones send all they hold.
+    Ranks count the rows of an old shard by size from the smallest. The odd rows stay where
+    the largest row would else have to leave. Old shards beyond the new ones send all they hold.
     """
     held: dict[int, int] = {}
     for old, _, rows, _ in blocks:
         held[old] = held.get(old, 0) + rows
     total = sum(held.values())
-    by_size = sorted(range(shards), key=lambda j: (-held.get(j, 0), j))
-    room = {j: total // shards + (k < total % shards) for k, j in enumerate(by_size)}
+    even = total // shards
+    spared = {j: 0.0 for j in range(shards)}
+    below = dict.fromkeys(held, 0)
+    for old, _, rows, size in sorted(blocks):
+        last_to_leave = held[old] - even - 1
+        if old < shards and below[old] <= last_to_leave < below[old] + rows:
+            spared[old] = size / rows
+        below[old] += rows
+    most = sorted(range(shards), key=lambda j: (-spared[j], j))
+    room = {j: even + (k < total % shards) for k, j in enumerate(most)}
     surplus = {i: max(0, n - room.get(i, 0)) for i, n in held.items()}
     demand = {j: room[j] - held.get(j, 0) for j in range(shards) if room[j] > held.get(j, 0)}
     supply, cost = {}, {}
