@@ -1,4 +1,4 @@
-"""The three streaming jobs: positions, vehicle state, alerts.
+"""The streaming jobs: positions, vehicle state, alerts, and messages that do not parse.
 
 Each takes a stream of messages from any source, a folder for its checkpoint (which
 is mandatory, so that a restart loses nothing) and the table it maintains. Sinks are
@@ -137,3 +137,23 @@ def alert_job(
 
     return _start(counted, sink, checkpoint, "update", every)
 
+
+def rejects_job(
+    messages: DataFrame,
+    ddl: str,
+    path: str,
+    checkpoint: str,
+    every: str | None = POSITION_TRIGGER,
+) -> StreamingQuery:
+    """Keep the text of messages that do not parse by ``ddl``, one folder per batch.
+
+    The other jobs leave these messages out; this one reads the same source beside
+    them with a checkpoint of its own. Batches without rejects write no folder.
+    """
+    rows = decode.rejects(decode.json_decode_flatten(messages, ddl)).withColumnRenamed(decode.CORRUPT, "text")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return _start(rows, sink, checkpoint, "append", every)

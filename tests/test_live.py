@@ -194,6 +194,15 @@ def test_alert_stream_counts_over_batches(spark, tmp_path):
     assert got == {1: (3, "A", "SA"), 2: (1, "default", "default")}
 
 
+def test_rejects_are_kept_per_batch(spark, tmp_path):
+    good = message(events(1)[0])
+    write_batches(tmp_path / "in", [[good, "no json", "{'thing_id': "], [good], ["no json", "7"]])
+    source = file_source(spark, str(tmp_path / "in"), 1)
+    jobs.rejects_job(source, schemas.POSITION_MESSAGE, str(tmp_path / "bad"), str(tmp_path / "cp"), every=None).awaitTermination()
+    kept = spark.read.schema("text STRING, batch_id INT").parquet(str(tmp_path / "bad")).collect()
+    assert sorted((r.batch_id, r.text) for r in kept) == [(0, "no json"), (0, "{'thing_id': "), (2, "7"), (2, "no json")]
+
+
 def test_outlier_of_unknown_vehicle_is_null(spark):
     new = spark.createDataFrame([(9, "x", START, 300)], "thing_id INT, trace_id STRING, trace_date TIMESTAMP, speed INT")
     assert live.speed_outlier_replace(new, new.filter("thing_id < 0")).first().speed is None
