@@ -1,11 +1,12 @@
 """Token ids in files: an adaptive context-mixing range coder in independent blocks.
 
-Each id is coded as a few yes/no decisions: is it the id that last followed the same two ids
-(order 2), the one that last followed the same id (order 1), or the last one met with the same
-low byte (order 0). The chance of each answer mixes two adaptive counters with weights that
-follow the better one, in integers, and drives a binary arithmetic coder; what no prediction
-names is two plain bytes. Every block starts with empty models and carries its checksum, so a
-block is read or lost by itself. Many blocks are coded side by side, one step for all at once.
+Each id is coded as one of four cases: it is the id that last followed the same two ids (order
+2), else the one that last followed the same id (order 1), else the last one met with the same
+low byte (order 0), else none of them. The chances of the cases mix two adaptive tables, one by
+how often the order-2 guess was right and one by the last two cases, with a weight that follows
+the better one, in integers, and drive a range coder; bytes that no prediction names are plain.
+Every block starts with empty models and carries its checksum, so a block is read or lost by
+itself. Many blocks are coded side by side, one step for all at once.
 """
 
 from __future__ import annotations
@@ -21,200 +22,221 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadspan.llm.common import scratch_path, shuffle_partitions
+from roadspan.llm.common import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_IDS = 4096
-BLOCKS_PER_ROW = 1024
+BLOCK_IDS = 2048
+BLOCKS_PER_ROW = 2048
 TABLE_BITS = 10
 CHANCE_BITS = 12
+CASES = 4
 SEEN_WORDS = 300_000
-CHUNK_CHARS = 2_000_000
+SEEN_CHARS = 20_000_000
+SEPARATOR = "\x02"
+
+# Four cumulative chances (case 0, 0 or 1, 0 to 2, any) are 16-bit fields of one number, so that
+# one operation moves all of them; a field holds at most 4,095, and none borrows from the next.
+FIELD, FIELDS = np.uint64(16), 0x0001_0001_0001_0001
+ONE_FIELD = np.uint64(0xFFFF)
+EVEN = np.uint64(sum((1024 * j + 1023) << 16 * j for j in range(CASES)))
+GOAL = np.array([sum(1 << 16 * j for j in range(case, CASES)) for case in range(CASES)], dtype=np.uint64)
+AT_LEAST = np.uint64(sum((j + 1) << 16 * j for j in range(CASES)))
+FAST, SLOW, TRIM, MIX = (np.uint64(x) for x in (4, 5, 10, 4))
+FAST_BITS, SLOW_BITS, TRIM_BITS, MIX_BITS = (np.uint64(FIELDS * x) for x in (0x0FFF, 0x07FF, 0x003F, 0x0FFF))
+FAST_GOAL, SLOW_GOAL = GOAL * np.uint64(255), GOAL * np.uint64(127)
+WORD, BELOW_TOP, LEAST_RANGE, BOUNDS = (np.uint64(x) for x in (16, 1 << 32, 1 << 16, (1 << 48) - 1))
+
+
+def _field(packed: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    return (packed >> shift) & ONE_FIELD
 
 
 class _Models:
-    """The state of ``n`` blocks: predictions of three orders, counters and mixing weights."""
+    """The state of ``n`` blocks: predictions of three orders, chances of the cases, mixing weights."""
+
+    def __init__(self, n: int):
+        lane = np.arange(n)
+        self.table_at, self.low_at, self.chance_at = lane << TABLE_BITS, lane << 8, lane << 4
+        # An order-2 entry is an id and, above it, how often it was right (at most 15).
+        self.two = np.zeros(n << TABLE_BITS, dtype=np.uint32)
+        self.one = np.zeros(n << TABLE_BITS, dtype=np.uint16)
+        self.zero = np.zeros(n << 8, dtype=np.uint16)
+        self.by_trust = np.full(n << 4, EVEN)
+        self.by_past = np.full(n << 4, EVEN)
+        self.weight = np.full(n, 128, dtype=np.int64)
+        self.past, self.last, self.older = (np.zeros(n, dtype=np.int64) for _ in range(3))
+
+    def look(self, k: int) -> np.ndarray:
+        """Predictions for the next id of the first ``k`` blocks; the cases' mixed chances."""
+        mask, last = (1 << TABLE_BITS) - 1, self.last[:k]
+        self.at_one = self.table_at[:k] + ((last * 0x9E37 >> 4) & mask)
+        self.at_two = self.table_at[:k] + (((last * 0x9E3779B1 + self.older[:k] * 0x85EBCA77) >> 13) & mask)
+        entry = self.two.take(self.at_two)
+        self.guess_two, self.trust = (entry & 0xFFFF).astype(np.uint16), entry >> 16
+        self.guess_one = self.one.take(self.at_one)
+        self.at_trust = self.chance_at[:k] + self.trust
+        self.at_past = self.chance_at[:k] + self.past[:k]
+        self.p, self.q = self.by_trust.take(self.at_trust), self.by_past.take(self.at_past)
+        share = (self.weight[:k] >> 4).astype(np.uint64)
+        mixed = ((self.p * share + self.q * (np.uint64(16) - share)) >> MIX) & MIX_BITS
+        # No case has a chance of nil, and all together have 4,096.
+        return mixed - ((mixed >> TRIM) & TRIM_BITS) + AT_LEAST
+
+    def learn(self, k: int, case: np.ndarray, ids: np.ndarray) -> None:
+        p, q, shift = self.p, self.q, case.astype(np.uint64) << np.uint64(4)
+        by_p, by_q = _field(p - (p << FIELD), shift), _field(q - (q << FIELD), shift)
+        weight = self.weight[:k] + (by_p > by_q) - (by_p < by_q)
+        self.weight[:k] = np.minimum(np.maximum(weight, 16), 240)
+        self.by_trust[self.at_trust] = p - ((p >> FAST) & FAST_BITS) + FAST_GOAL.take(case)
+        self.by_past[self.at_past] = q - ((q >> SLOW) & SLOW_BITS) + SLOW_GOAL.take(case)
+        self.past[:k] = (self.past[:k] << 2 | case) & 15
+        trust = np.where(case == 0, np.minimum(self.trust, 14) + 1, self.trust >> 1)
+        self.two[self.at_two] = trust << 16 | ids
+        self.one[self.at_one] = ids
+        self.zero[self.low_at[:k] + (ids & 255)] = ids
+        self.older[:k] = self.last[:k]
+        self.last[:k] = ids
+
+
+class _Ranges:
+    """One range coder per block: a start of 48 bits and a width; 16 bits leave at a time.
+
+    Where a narrow range lies across a border of the leaving bits, it is cut there, so nothing is carried.
+    """
 
     def __init__(self, n: int):
-        size = 1 << TABLE_BITS
-        self.lane = np.arange(n)
-        self.two = np.full((n, size), -1, dtype=np.int32)
-        self.one = np.full((n, size), -1, dtype=np.int32)
-        self.zero = np.full((n, 256), -1, dtype=np.int32)
-        self.trust = np.zeros((n, size), dtype=np.uint8)
-        # Counters per decision: by how often the order-2 guess was right, and by the last answers.
-        self.by_trust = np.full((3, n, 16), 2048, dtype=np.int32)
-        self.by_past = np.full((3, n, 8), 2048, dtype=np.int32)
-        self.weight = np.full((3, n), 128, dtype=np.int32)
-        self.past = np.zeros((3, n), dtype=np.int32)
-        self.before = np.zeros((2, n), dtype=np.int64)
-
-    def look(self, k: int) -> None:
-        """Predictions for the next id of the first ``k`` blocks."""
-        lane, mask = self.lane[:k], (1 << TABLE_BITS) - 1
-        last, older = self.before[0, :k], self.before[1, :k]
-        self.at_one = (last * 0x9E37 >> 4) & mask
-        self.at_two = ((last * 0x9E3779B1 + older * 0x85EBCA77) >> 13) & mask
-        self.guess = [self.two[lane, self.at_two], self.one[lane, self.at_one]]
-        self.sure = np.minimum(self.trust[lane, self.at_two], 15)
-
-    def chance(self, decision: int, who: np.ndarray) -> np.ndarray:
-        """Chance of yes in 1 .. 4095 for some blocks."""
-        self.p = self.by_trust[decision, who, self.sure[who]]
-        self.q = self.by_past[decision, who, self.past[decision, who]]
-        w = self.weight[decision, who]
-        return np.clip((w * self.p + (256 - w) * self.q) >> 8, 1, (1 << CHANCE_BITS) - 1)
-
-    def learn(self, decision: int, who: np.ndarray, yes: np.ndarray) -> None:
-        goal = yes.astype(np.int32) * ((1 << CHANCE_BITS) - 1)
-        better = np.sign(np.abs(goal - self.q) - np.abs(goal - self.p))
-        self.weight[decision, who] = np.clip(self.weight[decision, who] + better, 16, 240)
-        self.by_trust[decision, who, self.sure[who]] += (goal - self.p) >> 4
-        self.by_past[decision, who, self.past[decision, who]] += (goal - self.q) >> 5
-        self.past[decision, who] = (self.past[decision, who] * 2 + yes) & 7
-
-    def update(self, k: int, ids: np.ndarray) -> None:
-        lane = self.lane[:k]
-        right = self.guess[0] == ids
-        trust = self.trust[lane, self.at_two]
-        self.trust[lane, self.at_two] = np.where(right, np.minimum(trust, 14) + 1, trust >> 1)
-        self.two[lane, self.at_two] = ids
-        self.one[lane, self.at_one] = ids
-        self.zero[lane, ids & 255] = ids
-        self.before[1, :k] = self.before[0, :k]
-        self.before[0, :k] = ids
-
-
-class _Coder:
-    """Binary arithmetic coders, one per block: 32-bit bounds, bytes leave from the top."""
-
-    def __init__(self, n: int, room: int):
         self.low = np.zeros(n, dtype=np.uint64)
-        self.high = np.full(n, 0xFFFFFFFF, dtype=np.uint64)
-        self.bytes = np.zeros((n, room), dtype=np.uint8)
-        self.at = np.zeros(n, dtype=np.int64)
+        self.width = np.full(n, BOUNDS, dtype=np.uint64)
 
-    def split(self, who: np.ndarray, chance: np.ndarray) -> np.ndarray:
-        low, high = self.low[who], self.high[who]
-        return low + ((high - low) >> np.uint64(CHANCE_BITS)) * chance.astype(np.uint64)
+    def unit(self, k: int) -> np.ndarray:
+        return self.width[:k] >> np.uint64(CHANCE_BITS)
 
-    def narrow(self, who: np.ndarray, middle: np.ndarray, yes: np.ndarray) -> None:
-        self.high[who] = np.where(yes, middle, self.high[who])
-        self.low[who] = np.where(yes, self.low[who], middle + np.uint64(1))
+    def narrow(self, unit: np.ndarray, chances: np.ndarray, case: np.ndarray) -> None:
+        k, shift = len(case), case.astype(np.uint64) << np.uint64(4)
+        start = _field(chances << FIELD, shift)
+        self.low[:k] += unit * start
+        self.width[:k] = unit * (_field(chances, shift) - start)
 
     def settled(self, who: np.ndarray) -> np.ndarray:
-        return who[(self.low[who] ^ self.high[who]) < np.uint64(1 << 24)]
+        """Those of ``who`` whose top 16 bits may leave."""
+        low, width = self.low[who], self.width[who]
+        same = (low ^ (low + width)) < BELOW_TOP
+        narrow = ~same & (width < LEAST_RANGE)
+        if narrow.any():
+            cut = who[narrow]
+            self.width[cut] = (~self.low[cut] + np.uint64(1)) & (LEAST_RANGE - np.uint64(1))
+        return who[same | narrow]
+
+    def settled_first(self, k: int) -> np.ndarray:
+        low, width = self.low[:k], self.width[:k]
+        return self.settled(np.flatnonzero(((low ^ (low + width)) < BELOW_TOP) | (width < LEAST_RANGE)))
 
     def shift(self, who: np.ndarray) -> None:
-        self.low[who] = (self.low[who] << np.uint64(8)) & np.uint64(0xFFFFFFFF)
-        self.high[who] = ((self.high[who] << np.uint64(8)) & np.uint64(0xFFFFFFFF)) | np.uint64(255)
+        self.low[who] = (self.low[who] << WORD) & BOUNDS
+        self.width[who] <<= WORD
 
 
-def _padded(blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _padded(blocks: list[np.ndarray], kind) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(b) for b in blocks])
-    table = np.zeros((len(blocks), int(lengths.max())), dtype=np.int32)
+    table = np.zeros((len(blocks), int(lengths.max())), dtype=kind)
     for row, b in zip(table, blocks):
         row[: len(b)] = b
     return table, lengths
 
 
+def _running(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(position, number of blocks that reach it); blocks are longest first."""
+    for t in range(int(lengths[0])):
+        yield t, int(np.searchsorted(-lengths, -t, side="left"))
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Blocks of ids below 65,536, longest first, as bytes: id count, crc32, code length, code, plain bytes."""
-    ids, lengths = _padded(blocks)
+    """Blocks of ids below 65,536, longest first, as bytes.
+
+    Four 32-bit numbers (ids, crc32, words of code, plain low bytes), the code, the low bytes that
+    order 2 and 1 do not name, the high bytes that order 0 does not name.
+    """
+    ids, lengths = _padded(blocks, np.uint16)
     n, longest = ids.shape
-    models, coder = _Models(n), _Coder(n, 6 * longest + 8)
-    plain, used = np.zeros((n, 2 * longest), dtype=np.uint8), np.zeros(n, dtype=np.int64)
-
-    def decide(decision: int, who: np.ndarray, yes: np.ndarray) -> None:
-        coder.narrow(who, coder.split(who, models.chance(decision, who)), yes)
-        models.learn(decision, who, yes)
-        while len(done := coder.settled(who)):
-            coder.bytes[done, coder.at[done]] = coder.high[done] >> np.uint64(24)
-            coder.at[done] += 1
-            coder.shift(done)
-
-    for t in range(longest):
-        k = int(np.searchsorted(-lengths, -t, side="left"))
-        who, wanted = models.lane[:k], ids[:k, t]
-        models.look(k)
-        for order in (0, 1):
-            hit = models.guess[order][who] == wanted[who]
-            decide(order, who, hit)
-            who = who[~hit]
-            if not len(who):
-                break
-        if len(who):
-            value = wanted[who]
-            plain[who, used[who]] = value & 255
+    by_step, cases = np.ascontiguousarray(ids.T), np.zeros((longest, n), dtype=np.int8)
+    models, ranges = _Models(n), _Ranges(n)
+    room = 2 * longest + 8
+    words, used = np.zeros(n * room, dtype="<u2"), np.arange(n) * room
+    for t, k in _running(lengths):
+        wanted = by_step[t, :k]
+        chances = models.look(k)
+        third = models.zero.take(models.low_at[:k] + (wanted & 255)) != wanted
+        case = np.where(models.guess_two == wanted, 0, np.where(models.guess_one == wanted, 1, third + 2))
+        ranges.narrow(ranges.unit(k), chances, case)
+        who = ranges.settled_first(k)
+        while len(who):
+            words[used[who]] = ranges.low[who] >> np.uint64(32)
             used[who] += 1
-            hit = models.zero[who, value & 255] == value
-            decide(2, who, hit)
-            who, value = who[~hit], value[~hit]
-            plain[who, used[who]] = value >> 8
-            used[who] += 1
-        models.update(k, wanted)
-    out = []
+            ranges.shift(who)
+            who = ranges.settled(who)
+        models.learn(k, case, wanted)
+        cases[t, :k] = case
+    used -= np.arange(n) * room
+    by_block, words, out = np.ascontiguousarray(cases.T), words.reshape(n, room), []
     for i, b in enumerate(blocks):
-        code = coder.bytes[i, : coder.at[i]].tobytes() + int(coder.high[i]).to_bytes(4, "big")
-        head = np.array([len(b), zlib.crc32(b.astype("<u4").tobytes()), len(code)], dtype="<u4").tobytes()
-        out.append(head + code + plain[i, : used[i]].tobytes())
+        rest = [int(ranges.low[i]) >> bits & 0xFFFF for bits in (32, 16, 0)]
+        code = np.append(words[i, : used[i]], np.array(rest, dtype="<u2")).astype("<u2")
+        case = by_block[i, : len(b)]
+        low = (ids[i, : len(b)][case >= 2] & 255).astype(np.uint8)
+        high = (ids[i, : len(b)][case == 3] >> 8).astype(np.uint8)
+        head = np.array([len(b), zlib.crc32(b.astype("<u4").tobytes()), len(code), len(low)], dtype="<u4")
+        out.append(b"".join(x.tobytes() for x in (head, code, low, high)))
     return out
 
 
 def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     """The ids of blocks in the order of :func:`encode_blocks`; a wrong checksum is an error."""
-    heads = np.array([np.frombuffer(c[:12], dtype="<u4") for c in coded]).astype(np.int64)
+    heads = np.array([np.frombuffer(c[:16], dtype="<u4") for c in coded]).astype(np.int64)
     lengths, n = heads[:, 0], len(coded)
-    longest = int(lengths.max())
-    models, coder = _Models(n), _Coder(n, int(heads[:, 2].max()) + 8)
-    plain, used = np.zeros((n, 2 * longest + 1), dtype=np.uint8), np.zeros(n, dtype=np.int64)
-    for i, c in enumerate(coded):
-        cut = 12 + heads[i, 2]
-        coder.bytes[i, : heads[i, 2]] = np.frombuffer(c[12:cut], dtype=np.uint8)
-        plain[i, : len(c) - cut] = np.frombuffer(c[cut:], dtype=np.uint8)
+    low_from = 16 + 2 * heads[:, 2]
+    high_from = low_from + heads[:, 3]
+    parts = [
+        _padded([np.frombuffer(c[a:b], dtype=kind) for c, a, b in zip(coded, start, end)], kind)[0]
+        for start, end, kind in (
+            ([16] * n, low_from, "<u2"), (low_from, high_from, "u1"), (high_from, [None] * n, "u1"),
+        )
+    ]
+    # One column more each, so that a block that has used its last one reads a zero.
+    words, lows, highs = (np.pad(x, ((0, 0), (0, 1))) for x in parts)
+    word_at, low_at, high_at = (np.arange(n) * x.shape[1] for x in (words, lows, highs))
+    words, lows, highs = words.ravel(), lows.ravel(), highs.ravel()
+    models, ranges = _Models(n), _Ranges(n)
     value = np.zeros(n, dtype=np.uint64)
-    for j in range(4):
-        value = value << np.uint64(8) | coder.bytes[:, j].astype(np.uint64)
-    coder.at[:] = 4
-    ids = np.zeros((n, longest), dtype=np.int32)
-
-    def decide(decision: int, who: np.ndarray) -> np.ndarray:
-        middle = coder.split(who, models.chance(decision, who))
-        yes = value[who] <= middle
-        coder.narrow(who, middle, yes)
-        models.learn(decision, who, yes)
-        while len(done := coder.settled(who)):
-            coder.shift(done)
-            value[done] = ((value[done] << np.uint64(8)) & np.uint64(0xFFFFFFFF)) | coder.bytes[
-                done, coder.at[done]
-            ].astype(np.uint64)
-            coder.at[done] += 1
-        return yes
-
-    for t in range(longest):
-        k = int(np.searchsorted(-lengths, -t, side="left"))
-        who, found = models.lane[:k], np.zeros(k, dtype=np.int32)
-        models.look(k)
-        for order in (0, 1):
-            hit = decide(order, who)
-            found[who[hit]] = models.guess[order][who[hit]]
-            who = who[~hit]
-            if not len(who):
-                break
-        if len(who):
-            low = plain[who, used[who]].astype(np.int32)
-            used[who] += 1
-            hit = decide(2, who)
-            found[who[hit]] = models.zero[who[hit], low[hit]]
-            who, low = who[~hit], low[~hit]
-            found[who] = plain[who, used[who]].astype(np.int32) << 8 | low
-            used[who] += 1
-        ids[:k, t] = found
-        models.update(k, found)
-    out = []
+    for _ in range(3):
+        value = value << WORD | words.take(word_at, mode="clip")
+        word_at += 1
+    found = np.zeros((int(lengths[0]), n), dtype=np.uint16)
+    for t, k in _running(lengths):
+        chances, unit = models.look(k), ranges.unit(k)
+        ahead = value[:k] - ranges.low[:k]
+        case = np.zeros(k, dtype=np.int64)
+        for j in range(CASES - 1):
+            case += ahead >= unit * _field(chances, np.uint64(16 * j))
+        ranges.narrow(unit, chances, case)
+        who = ranges.settled_first(k)
+        while len(who):
+            ranges.shift(who)
+            value[who] = ((value[who] << WORD) & BOUNDS) | words.take(word_at[who], mode="clip")
+            word_at[who] += 1
+            who = ranges.settled(who)
+        low = lows.take(low_at[:k], mode="clip").astype(np.uint16)
+        high = highs.take(high_at[:k], mode="clip").astype(np.uint16)
+        third = models.zero.take(models.low_at[:k] + low)
+        unknown = np.where(case == 2, third, high << 8 | low)
+        ids = np.where(case == 0, models.guess_two, np.where(case == 1, models.guess_one, unknown)).astype(np.uint16)
+        low_at[:k] += case >= 2
+        high_at[:k] += case == 3
+        models.learn(k, case, ids)
+        found[t, :k] = ids
+    by_block, out = np.ascontiguousarray(found.T), []
     for i in range(n):
-        block = ids[i, : lengths[i]]
+        block = by_block[i, : lengths[i]].astype(np.int32)
         if zlib.crc32(block.astype("<u4").tobytes()) != heads[i, 1]:
             raise ValueError(f"block {i}: wrong checksum")
         out.append(block)
@@ -229,18 +251,33 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[str, np.ndarray] = {}
+        self.seen: dict[str, bytes] = {}
+        self.chars = 0
+        self.separator = self._batch([SEPARATOR])[0]
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<i4").tobytes() for x in coded]
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of words. A word of one control character, which no other holds, parts them in a single text."""
+        if len(self.separator) != 4 or any(SEPARATOR in w for w in words):
+            return self._batch(words)
+        [coded] = self._batch([f" {SEPARATOR} ".join(words)])
+        ends = np.flatnonzero(np.frombuffer(coded, dtype="<i4") == np.frombuffer(self.separator, dtype="<i4")) * 4
+        if len(ends) != len(words) - 1:
+            return self._batch(words)
+        return [coded[a:b] for a, b in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(coded)])]
 
     def __call__(self, text: str) -> np.ndarray:
-        words = text.split(" ") if "\n" not in text else text.replace("\n", " ").split(" ")
-        new = list(dict.fromkeys(w for w in words if w not in self.seen))
+        words = text.replace("\n", " ").split(" ")
+        new = list(set(words).difference(self.seen))
         if new:
-            if len(self.seen) > SEEN_WORDS:
-                self.seen, new = {}, list(dict.fromkeys(words))
-            coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            for word, x in zip(new, coded):
-                self.seen[word] = np.array(x.ids, dtype=np.int32)
-        return np.concatenate([self.seen[w] for w in words]) if words else np.zeros(0, dtype=np.int32)
+            if len(self.seen) > SEEN_WORDS or self.chars > SEEN_CHARS:
+                self.seen, self.chars, new = {}, 0, list(set(words))
+            self.seen.update(zip(new, self._encode(new)))
+            self.chars += sum(map(len, new))
+        return np.frombuffer(b"".join(map(self.seen.__getitem__, words)), dtype="<i4")
 
 
 def write_ids(
@@ -282,7 +319,7 @@ def write_ids(
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     (
-        rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "id")
+        rows.repartitionByRange("id")
         .sortWithinPartitions("id", "text")
         .mapInPandas(of, "seq int, ids array<long>, sizes array<long>, total long, blocks array<binary>")
         .withColumn("part", F.spark_partition_id())
