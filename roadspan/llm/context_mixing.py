@@ -18,6 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,8 +33,7 @@ BLOCKS_PER_ROW = 2048
 TABLE_BITS = 10
 CHANCE_BITS = 12
 CASES = 4
-SEEN_WORDS = 300_000
-SEEN_CHARS = 20_000_000
+PIECE_CHARS = 16_000_000
 SEPARATOR = "\x02"
 
 # Four cumulative chances (case 0, 0 or 1, 0 to 2, any) are 16-bit fields of one number, so that
@@ -244,40 +245,62 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
 
 
 class Tokens:
-    """Ids of texts by a tokenizer file; words between white space do not touch each other."""
+    """Ids of texts by a tokenizer file; words between white space do not touch each other.
+
+    The words of a batch are numbered by their distinct values, which are tokenised once.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[str, bytes] = {}
-        self.chars = 0
         self.separator = self._batch([SEPARATOR])[0]
 
-    def _batch(self, texts: list[str]) -> list[bytes]:
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<i4").tobytes() for x in coded]
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """Ids of words. A word of one control character, which no other holds, parts them in a single text."""
-        if len(self.separator) != 4 or any(SEPARATOR in w for w in words):
-            return self._batch(words)
-        [coded] = self._batch([f" {SEPARATOR} ".join(words)])
-        ends = np.flatnonzero(np.frombuffer(coded, dtype="<i4") == np.frombuffer(self.separator, dtype="<i4")) * 4
-        if len(ends) != len(words) - 1:
-            return self._batch(words)
-        return [coded[a:b] for a, b in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(coded)])]
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        new = list(set(words).difference(self.seen))
-        if new:
-            if len(self.seen) > SEEN_WORDS or self.chars > SEEN_CHARS:
-                self.seen, self.chars, new = {}, 0, list(set(words))
-            self.seen.update(zip(new, self._encode(new)))
-            self.chars += sum(map(len, new))
-        return np.frombuffer(b"".join(map(self.seen.__getitem__, words)), dtype="<i4")
+        return [np.array(x.ids, dtype=np.int32) for x in coded]
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in a row, and how many each has.
+
+        A word of one control character, which no other holds, parts them in a single text.
+        """
+        if len(self.separator) == 1 and not any(SEPARATOR in w for w in words):
+            [coded] = self._batch([f" {SEPARATOR} ".join(words)])
+            parting = coded == self.separator[0]
+            ends = np.flatnonzero(parting)
+            if len(ends) == len(words) - 1:
+                return coded[~parting], np.diff(ends, prepend=-1, append=len(coded)) - 1
+        each = self._batch(words)
+        return np.concatenate(each), np.array([len(x) for x in each])
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        spaced = [text.replace("\n", " ") for text in texts]
+        lists = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        number = coded.indices.to_numpy(zero_copy_only=False)
+        flat, sizes = self._encode(coded.dictionary.to_pylist())
+        # Where each word's ids begin, in the distinct words and in the texts.
+        source, length = (np.cumsum(sizes) - sizes)[number], sizes[number]
+        ends = np.cumsum(length)
+        ids = flat[np.repeat(source - (ends - length), length) + np.arange(ends[-1])]
+        last_word = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        return np.split(ids, ends[last_word - 1][:-1])
+
+
+def _pieces(texts: list[str]) -> Iterator[slice]:
+    """Runs of texts with up to PIECE_CHARS characters, or one longer text."""
+    start = held = 0
+    for at, text in enumerate(texts):
+        if at > start and held + len(text) > PIECE_CHARS:
+            yield slice(start, at)
+            start, held = at, 0
+        held += len(text)
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 def write_ids(
@@ -305,8 +328,10 @@ def write_ids(
             )
 
         for rows in batches:
-            for name, text in zip(rows["id"], rows["text"]):
-                x = np.append(tokens(text or ""), np.int32(end_id))
+            texts = [text or "" for text in rows["text"]]
+            coded = (x for piece in _pieces(texts) for x in tokens(texts[piece]))
+            for name, x in zip(rows["id"], coded):
+                x = np.append(x, np.int32(end_id))
                 if total and total + len(x) > row_ids:
                     yield row()
                     names, sizes, held, total, seq = [], [], [], 0, seq + 1
