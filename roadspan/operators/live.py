@@ -236,6 +236,11 @@ def alert_enrich(alerts: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 def live_alerts(alerts: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """The live alert table: the newest counted row of each (type, event, user)."""
-    counted = alert_counter(alerts)
-    newest = latest_by_key(counted, ["type_id", "event_id", "user_id"], ["alert_time", "alert_id"])
+    keys = ["type_id", "event_id", "user_id"]
+    row = F.struct(*[c for c in alerts.columns if c not in keys])
+    newest = (
+        alerts.groupBy(*keys)
+        .agg(F.count("*").alias("alert_number"), F.max_by(row, F.struct("alert_time", "alert_id")).alias("_row"))
+        .select(*keys, "alert_number", "_row.*")
+    )
     return alert_enrich(newest, gazetteer)

@@ -75,10 +75,15 @@ class KeyedTable:
         """Newest rows; with ``before`` only of the batches below that number."""
         if before is not None:
             return self._newest(self._before(spark, schema, before))
-        everything = [
-            self._stored(spark, schema, kind, [f"{self.path}/{kind}"]) for kind in ("full", "changes")
-        ]
-        return self._newest(everything[0].unionByName(everything[1]))
+        full = self._stored(spark, schema, "full", [f"{self.path}/full"])
+        changes = self._stored(spark, schema, "changes", [f"{self.path}/changes"])
+        # Only footers are read for the number; the filters then pick folders.
+        newest = full.agg(F.max("batch_id")).first()[0]
+        if newest is None:
+            return self._newest(full.unionByName(changes))
+        return self._newest(
+            full.filter(F.col("batch_id") == newest).unionByName(changes.filter(F.col("batch_id") > newest))
+        )
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         return latest_by_key(rows, self.keys, [*self.order, "batch_id"]).drop("batch_id")
