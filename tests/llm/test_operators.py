@@ -142,6 +142,50 @@ def test_near_copies(spark, empty):
     assert simhash.drop_near_copies(empty).count() == 0
 
 
+def five_word_sets(texts):
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    return sets
+
+
+def slow_near_copies(texts):
+    """Ids that links at 0.8 or more lead from to a smaller id, and the similarities of all pairs."""
+    sets = five_word_sets(texts)
+    label = list(range(len(texts)))
+    alike = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in itertools.combinations(label, 2)}
+    changed = True
+    while changed:
+        changed = False
+        for (a, b), j in alike.items():
+            if j >= 0.8 and label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    return [i for i, x in enumerate(label) if i != x], alike
+
+
+def test_near_copies_around_the_limit(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    texts = []
+    for k in range(60):
+        base = [word() for _ in range(rng.randint(60, 300))]
+        texts.append(base)
+        n = round(len(base) * (0.05 + 0.12 * k / 60))
+        at = rng.randrange(len(base) - n)
+        texts.append([*base[:at], *[word() for _ in range(n)], *base[at + n :]])
+        scattered = list(base)
+        for i in rng.sample(range(len(base)), max(1, round(len(base) * (0.01 + 0.03 * k / 60)))):
+            scattered[i] = word()
+        texts.append(scattered)
+    texts = [" ".join(t) for t in texts]
+    want, alike = slow_near_copies(texts)
+    assert sum(0.75 <= j < 0.8 for j in alike.values()) >= 10 and sum(0.8 <= j <= 0.85 for j in alike.values()) >= 10
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    assert sorted(r[0] for r in simhash.near_copies(frame).collect()) == want
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, 120), (120, 110), (7, 7)]
     found = {r.node: r.label for r in components(spark.createDataFrame(links, "a LONG, b LONG")).collect()}
