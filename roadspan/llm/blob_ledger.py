@@ -45,10 +45,13 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 SPAN = "struct<start: int, kind_no: int, end: int>"
+# What the ledger keeps: a rule's place in the list may change, its name and version may not.
+PART = "struct<start: int, end: int>"
+FOUND = f"array<struct<rule: string, spans: array<{PART}>>>"
 
 
-def spans(text: Column, rule: Rule, kind_no: int) -> Column:
-    """(start, kind_no, end) of the leftmost non-overlapping matches, in code points.
+def spans(text: Column, rule: Rule) -> Column:
+    """(start, end) of the leftmost non-overlapping matches, in code points.
 
     The pieces between the matches and the matches themselves alternate, so their lengths
     add up to the positions.
@@ -57,30 +60,31 @@ def spans(text: Column, rule: Rule, kind_no: int) -> Column:
     pieces = F.transform(F.split(text, pattern, -1), F.length)
     hits = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
     sizes = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("found"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{PART}>").alias("found"))
 
     def step(state: Column, m: Column) -> Column:
         here = state["at"] + m["gap"]
-        span = F.struct(here.alias("start"), F.lit(kind_no).alias("kind_no"), (here + m["hit"]).alias("end"))
-        more = F.concat(state["found"], F.array(span.cast(SPAN)))
+        span = F.struct(here.alias("start"), (here + m["hit"]).alias("end"))
+        more = F.concat(state["found"], F.array(span.cast(PART)))
         return F.struct(
             (here + m["hit"]).alias("at"), F.when(m["size"] >= rule.least, more).otherwise(state["found"]).alias("found")
         )
 
     rows = F.arrays_zip(pieces.alias("gap"), hits.alias("hit"), sizes.alias("size"))
     matched = F.filter(rows, lambda m: m["hit"].isNotNull())
-    none = F.array().cast(f"array<{SPAN}>")
+    none = F.array().cast(f"array<{PART}>")
     return F.when(text.rlike(rule.pattern), F.aggregate(matched, start, step, lambda s: s["found"])).otherwise(none)
 
 
 class BlobLedger:
-    """A Parquet folder of rows (blob, scanned rule versions, spans), appended by each update."""
+    """A Parquet folder of rows (blob, found), appended by each update; found has the spans of each
+    rule version that the update scanned for, under its name, also where there are none."""
 
     def __init__(self, spark: SparkSession, path: str, rules: tuple[Rule, ...] = RULES):
         self.spark, self.path, self.rules = spark, path, rules
 
     def _read(self) -> DataFrame:
-        schema = f"blob string, scanned array<string>, spans array<{SPAN}>"
+        schema = f"blob string, found {FOUND}"
         try:
             return self.spark.read.schema(schema).parquet(self.path)
         except Exception as missing:
@@ -102,23 +106,24 @@ class BlobLedger:
         names = F.array(*[F.lit(r.name) for r in self.rules])
         seen = self._read()
         if not seen.isEmpty():
-            known = seen.select("blob", F.explode("scanned").alias("rule")).groupBy("blob").agg(
+            known = seen.select("blob", F.explode("found.rule").alias("rule")).groupBy("blob").agg(
                 F.collect_set("rule").alias("known")
             )
             blobs = blobs.join(known, "blob", "left")
             unseen = F.array_except(names, F.coalesce("known", F.array().cast("array<string>")))
         else:
             unseen = names
-        todo = blobs.withColumn("scanned", unseen).filter(F.size("scanned") > 0)
-        found = F.concat(
+        todo = blobs.withColumn("unseen", unseen).filter(F.size("unseen") > 0)
+        found = F.array(
             *[
-                F.when(F.array_contains("scanned", r.name), spans(F.col("text"), r, k)).otherwise(
-                    F.array().cast(f"array<{SPAN}>")
+                F.when(
+                    F.array_contains("unseen", r.name),
+                    F.struct(F.lit(r.name).alias("rule"), spans(F.col("text"), r).alias("spans")),
                 )
-                for k, r in enumerate(self.rules)
+                for r in self.rules
             ]
         )
-        fresh = stored(todo.select("blob", "scanned", found.alias("spans")), "scanned")
+        fresh = stored(todo.select("blob", F.array_compact(found).cast(FOUND).alias("found")), "scanned")
         fresh.write.mode("append").parquet(self.path)
         return fresh.count()
 
@@ -135,14 +140,15 @@ class BlobLedger:
             ),
             "paths",
         )
-        kept = F.filter(
-            "scanned", lambda r: r.isin([rule.name for rule in self.rules])
-        )
+        names = F.array(*[F.lit(r.name) for r in self.rules])
+        kind_no = (F.array_position(names, F.col("one.rule")) - 1).cast("int")
         spans_of = (
             self._read()
-            .filter((F.size("spans") > 0) & (F.size(kept) > 0))
+            .select("blob", F.explode("found").alias("one"))
+            .filter((F.size("one.spans") > 0) & F.col("one.rule").isin([r.name for r in self.rules]))
+            .select("blob", kind_no.alias("kind_no"), F.explode("one.spans").alias("s"))
             .groupBy("blob")
-            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+            .agg(F.array_sort(F.collect_set(F.struct("s.start", "kind_no", "s.end"))).cast(f"array<{SPAN}>").alias("spans"))
         )
         counted = paths.groupBy("blob").agg(F.count("*").alias("copies")).join(spans_of, "blob")
         joined = join_with_hot_keys(paths, stored(counted, "findings"), "blob", "copies", paths.count())

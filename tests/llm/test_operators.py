@@ -262,6 +262,28 @@ def test_blob_ledger_scans_only_what_is_new(spark, odd, tmp_path):
     assert book.findings(odd.filter("false")).count() == 0
 
 
+def test_blob_ledger_goes_by_rule_version(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "token = abcdef1 AKIA" + "A" * 16), (2, "token = abc")], "doc_id LONG, text STRING")
+    path = str(tmp_path / "versions")
+    old = blob_ledger.RULES
+    assert blob_ledger.BlobLedger(spark, path, old).update(frame) == 2
+
+    def listed(book):
+        return {r.path: [tuple(s) for s in r.spans] for r in book.findings(frame).collect()}
+
+    assert listed(blob_ledger.BlobLedger(spark, path, old)) == {1: [(0, 0, 15), (16, 1, 36)], 2: []}
+    # A new version counts alone, once it has scanned.
+    bumped = (blob_ledger.Rule("assign", 2, r"toke(n) = [a-c]+", 0, 0), *old[1:])
+    book = blob_ledger.BlobLedger(spark, path, bumped)
+    assert listed(book) == {1: [(16, 1, 36)], 2: []}
+    assert book.update(frame) == 2 and book.update(frame) == 0
+    assert listed(book) == {1: [(0, 0, 11), (16, 1, 36)], 2: [(0, 0, 11)]}
+    # Kinds follow the present list, without a new scan.
+    turned = blob_ledger.BlobLedger(spark, path, old[1:3] + old[:1])
+    assert turned.update(frame) == 0
+    assert listed(turned) == {1: [(0, 2, 15), (16, 0, 36)], 2: []}
+
+
 def base_secrets(text):
     found = []
     for k, (p, g, least) in enumerate([
