@@ -1,28 +1,29 @@
 """Resharding by minimum-cost flow: equal row counts at the fewest bytes moved.
 
-The rows of an old shard fall into blocks by size. A flow sends the surplus of full shards,
-block by block, to shards with room; a row that stays costs nothing, one that moves costs its
-bytes. Blocks are ranges of size, so the flow names, per old shard, ranges of the rank by
-size; ranks come from one range sort, and each row finds its new shard and slot from these few
-ranges alone. Only the files of shards that gain or lose rows are written anew.
+The rows of an old shard fall into blocks by size: those that leave in any case, the one row
+that leaves or stays, and those that stay. A flow sends all blocks to the new shards, each of
+which takes the even share and one odd row more where that is cheapest; a row that stays costs
+nothing, one that moves costs its bytes. Blocks are ranges of size, so the flow names, per old
+shard, ranges of the rank by size; ranks come from one range sort, and each row finds its new
+shard and slot from these few ranges alone. Only the files of shards that gain or lose rows are written anew.
 """
 
 from __future__ import annotations
 
 from collections import deque
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadspan.llm.common import scratch_path, shuffle_partitions, stored
 
-BLOCKS = 64
+def min_cost_flow(supply: dict, demand: dict, cost: dict, odd: int = 0) -> dict:
+    """Units per (source, target) that meet the demand at least cost.
 
-
-def min_cost_flow(supply: dict, demand: dict, cost: dict) -> dict:
-    """Units per (source, target) that meet the demand at least cost; cost is per source.
-
-    Successive shortest paths on the bipartite graph; ``supply`` sums to ``demand`` or more.
+    A source is (shard, block); its units cost nothing in the target of that shard and ``cost``
+    elsewhere. ``odd`` targets of the flow's choice take one unit more. Successive shortest
+    paths on the bipartite graph; costs are whole numbers or fractions.
     """
     edges: list[list] = []  # target node, room, cost
     out: dict = {}
@@ -33,19 +34,21 @@ def min_cost_flow(supply: dict, demand: dict, cost: dict) -> dict:
             edges.append([y, r, p])
 
     for s, n in supply.items():
-        edge("source", ("s", s), n, 0.0)
+        edge("source", ("s", s), n, 0)
         for t in demand:
-            edge(("s", s), ("t", t), n, cost[s])
+            edge(("s", s), ("t", t), n, 0 if s[0] == t else cost[s])
     for t, n in demand.items():
-        edge(("t", t), "sink", n, 0.0)
+        edge(("t", t), "sink", n, 0)
+        edge(("t", t), "odd", 1, 0)
+    edge("odd", "sink", odd, 0)
     while True:
-        far, came, queue, queued = {"source": 0.0}, {}, deque(["source"]), {"source"}
+        far, came, queue, queued = {"source": 0}, {}, deque(["source"]), {"source"}
         while queue:
             a = queue.popleft()
             queued.discard(a)
             for e in out.get(a, ()):
                 b, room, price = edges[e]
-                if room and far[a] + price < far.get(b, float("inf")) - 1e-9:
+                if room and far[a] + price < far.get(b, float("inf")):
                     far[b], came[b] = far[a] + price, e
                     if b not in queued:
                         queue.append(b)
@@ -71,37 +74,21 @@ def min_cost_flow(supply: dict, demand: dict, cost: dict) -> dict:
 def solve(blocks: list[tuple[int, int, int, int]], shards: int) -> list[tuple[int, int, int, int]]:
     """Ranges (old shard, first rank, end rank, new shard) from blocks (old, block, rows, bytes).
 
-    Ranks count the rows of an old shard by size from the smallest. The odd rows stay where
-    the largest row would else have to leave. Old shards beyond the new ones send all they hold.
+    Ranks count the rows of an old shard by size from the smallest. Exact where a block is
+    moved or kept as a whole. Old shards beyond the new ones send all they hold.
     """
     held: dict[int, int] = {}
-    for old, _, rows, _ in blocks:
-        held[old] = held.get(old, 0) + rows
-    total = sum(held.values())
-    even = total // shards
-    spared = {j: 0.0 for j in range(shards)}
-    below = dict.fromkeys(held, 0)
-    for old, _, rows, size in sorted(blocks):
-        last_to_leave = held[old] - even - 1
-        if old < shards and below[old] <= last_to_leave < below[old] + rows:
-            spared[old] = size / rows
-        below[old] += rows
-    most = sorted(range(shards), key=lambda j: (-spared[j], j))
-    room = {j: even + (k < total % shards) for k, j in enumerate(most)}
-    surplus = {i: max(0, n - room.get(i, 0)) for i, n in held.items()}
-    demand = {j: room[j] - held.get(j, 0) for j in range(shards) if room[j] > held.get(j, 0)}
     supply, cost = {}, {}
-    for old, block, rows, size in sorted(blocks):
-        # The smallest rows of a shard leave first, so later blocks give what is still to leave.
-        gives = min(rows, surplus[old])
-        surplus[old] -= gives
-        if gives:
-            supply[(old, block)], cost[(old, block)] = gives, size / rows
-    flow = min_cost_flow(supply, demand, cost)
+    for old, block, rows, size in blocks:
+        held[old] = held.get(old, 0) + rows
+        supply[(old, block)], cost[(old, block)] = rows, Fraction(size, rows)
+    even, odd = divmod(sum(held.values()), shards)
+    flow = min_cost_flow(supply, dict.fromkeys(range(shards), even), cost, odd)
     ranges: list[tuple[int, int, int, int]] = []
     for old in sorted(held):
         rank = 0
-        for (o, b), t in sorted(flow):
+        # Of one block, too, the smallest rows leave.
+        for (o, b), t in sorted(flow, key=lambda f: (f[0], f[1] == f[0][0], f[1])):
             if o == old:
                 n = flow[((o, b), t)]
                 if ranges and ranges[-1][0] == old and ranges[-1][3] == t:
@@ -124,6 +111,19 @@ def _slots(ranges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
     return found
 
 
+def _digest(docs: DataFrame) -> Column:
+    """A hash of all columns of a row; it tells nulls, and zeros of either sign, from other values."""
+    told = []
+    for name, kind in docs.dtypes:
+        value = docs[name]
+        if kind.startswith(("array", "map", "struct")):
+            value = F.to_json(F.struct(value), {"ignoreNullFields": "false"})
+        elif kind in ("float", "double"):
+            value = value.cast("string")
+        told += [value, docs[name].isNull()]
+    return F.xxhash64(*told)
+
+
 def plan(docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id", text_col: str = "text"):
     """((key columns, old, shard, slot) per row, shards whose files change)."""
     spark = docs.sparkSession
@@ -131,7 +131,7 @@ def plan(docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id", text
         F.col(id_col).alias("id"),
         old.cast("int").alias("old"),
         (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
-        F.xxhash64(text_col).alias("digest"),
+        _digest(docs).alias("digest"),
     )
     order = ["old", "size", "id", "digest"]
     placed = stored(
@@ -149,12 +149,16 @@ def plan(docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id", text
     ranked = placed.join(F.broadcast(offsets), ["old", "part"]).withColumn(
         "rank", F.col("at") + F.col("offset")
     )
-    cuts = [c for c in placed.approxQuantile("size", [k / BLOCKS for k in range(1, BLOCKS)], 0.005)]
-    edges = F.array(*[F.lit(int(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<int>")
-    block = F.size(F.filter(edges, lambda c: c < F.col("size")))
+    held = {r["old"]: r["n"] for r in pieces.groupBy("old").agg(F.sum("n").alias("n")).collect()}
+    even = sum(held.values()) // shards
+    # The row of this rank stays if its shard takes an odd row; smaller ones leave, larger ones stay.
+    margin = F.lit(None).cast("long")
+    for o, n in held.items():
+        margin = F.when(F.col("old") == o, n - even - 1 if o < shards else n).otherwise(margin)
+    block = F.when(F.col("rank") < margin, 0).when(F.col("rank") == margin, 1).otherwise(2)
     blocks = [
         tuple(r)
-        for r in placed.groupBy("old", block.alias("block"))
+        for r in ranked.groupBy("old", block.alias("block"))
         .agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
         .collect()
     ]
@@ -185,7 +189,7 @@ def rewrite(
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         docs[id_col].alias("_id"),
-        F.xxhash64(text_col).alias("_digest"),
+        _digest(docs).alias("_digest"),
     )
     key = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_digest") == F.col("digest"))
     again = stored(
@@ -194,7 +198,7 @@ def rewrite(
     if again.isEmpty():
         joined = rows.join(where, key)
     else:
-        # Repeated rows: one of each key meets all the places that the plan holds for it.
+        # Rows repeated in all columns: one of each key meets all the places that the plan holds for it.
         once = rows.join(again, key, "left_semi").dropDuplicates(["_id", "_digest"])
         joined = rows.join(again, key, "left_anti").unionByName(once).join(where, key)
     joined = joined.select("row", "shard", "slot")

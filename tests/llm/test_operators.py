@@ -407,6 +407,29 @@ def test_resharding(docs, odd, empty):
     assert flow_shards.rewrite(empty, F.lit(0), 4).count() == 0
 
 
+def test_resharding_keeps_the_columns_of_rows_alike_in_id_and_text(spark):
+    given = [(None, "", "a", None), (None, "", None, "a"), (None, "", "b", None), (7, "x", "a", None), (7, "x", "b", None), (7, "x", "b", None)]
+    frame = spark.createDataFrame([(*r, x) for r in given for x in (0.0, -0.0)], "doc_id LONG, text STRING, source STRING, lang STRING, score DOUBLE")
+    found = flow_shards.rewrite(frame, F.pmod(F.xxhash64("source"), F.lit(3)), 4)
+    assert rows(found.select("row.*")) == rows(frame)
+
+
+def test_resharding_moves_the_fewest_bytes_with_long_texts(spark):
+    sizes = {0: [10] * 40 + [5_000] * 3 + [90_000] * 20, 1: [10] * 40 + [4_000] * 3 + [900_000] * 20, 2: [10] * 10}
+    given = [(1000 * o + k, o, "x" * (n - 1)) for o, ns in sizes.items() for k, n in enumerate(ns)]
+    frame = spark.createDataFrame(given, "doc_id LONG, old INT, text STRING")
+    for shards in (2, 3, 4):
+        found = flow_shards.rewrite(frame, F.col("old"), shards).select("row.old", "shard", F.length("row.text").alias("n")).collect()
+        total = len(given)
+        moved = sum(r.n + 1 for r in found if r.old != r.shard)
+        room = [total // shards + (k < total % shards) for k in range(shards)]
+        best = min(
+            sum(sum(sorted(ns)[: max(0, len(ns) - (order[o] if o < shards else 0))]) for o, ns in sizes.items())
+            for order in set(itertools.permutations(room))
+        )
+        assert moved == best
+
+
 def test_block_coder():
     rng = np.random.default_rng(2)
     blocks = [(rng.zipf(1.3, n) % 49408).astype(np.int32) for n in (900, 700, 40, 1)]
