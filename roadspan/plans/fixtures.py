@@ -95,12 +95,16 @@ SELECT CAST(n_nationkey AS INT) AS wilaya_id, n_name AS wilaya_designation FROM
     "commune": """
 SELECT CAST(r_regionkey AS INT) AS commune_id, r_name AS commune_designation FROM {region}""",
     "users": "SELECT CAST(c_custkey AS INT) AS id, c_name AS name FROM {customer}",
+    # All nations, no two boxes overlap: four columns of small boxes, one of widths that double.
     "gazetteer": """
-SELECT CAST(36.5 AS DOUBLE) + CAST(n_nationkey AS DOUBLE) * CAST(0.02 AS DOUBLE) AS south,
-       CAST(36.5 AS DOUBLE) + CAST(n_nationkey + 1 AS DOUBLE) * CAST(0.02 AS DOUBLE) AS north,
-       CAST(3.0 AS DOUBLE) AS west, CAST(3.2 AS DOUBLE) AS east,
-       concat('T', CAST(n_nationkey AS STRING)) AS town, n_name AS state, 'land' AS country
-FROM {nation} WHERE n_nationkey < 5""",
+SELECT south, south + CAST(0.012 AS DOUBLE) + CAST(r AS DOUBLE) * CAST(0.002 AS DOUBLE) AS north,
+       west, west + CASE WHEN n < 20 THEN CAST(1 + n % 4 AS DOUBLE) * CAST(0.003 AS DOUBLE)
+                         ELSE power(CAST(2 AS DOUBLE), CAST(r AS DOUBLE)) * CAST(0.02 AS DOUBLE) END AS east,
+       concat('T', CAST(n AS STRING)) AS town, state, 'land' AS country
+FROM (SELECT n_nationkey AS n, n_nationkey % 5 AS r, n_name AS state,
+             CAST(36.5 AS DOUBLE) + CAST(n_nationkey % 5 AS DOUBLE) * CAST(0.022 AS DOUBLE) AS south,
+             CAST(3.0 AS DOUBLE) + CAST(n_nationkey - n_nationkey % 5 AS DOUBLE) * CAST(0.0028 AS DOUBLE) AS west
+      FROM {nation}) AS nations""",
     "maintenance": """
 SELECT CAST(c_custkey AS INT) AS id, CAST(c_custkey AS INT) AS thing_id,
        concat('car', CAST(c_custkey AS STRING)) AS name,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from roadspan import schemas
 from roadspan.operators import dims, facts, features, kpi, loading, serving
 from roadspan.operators.places import place_lookup
+from roadspan.plans.fixtures import Inputs
 from roadspan.sources import files, jdbc, tables
 
 START = dt.datetime(2024, 1, 1)
@@ -203,6 +204,18 @@ def test_places_of_mixed_size(spark):
         assert found[n] == best
 
 
+def test_gazetteer_view_has_all_nations(spark):
+    inputs = Inputs(spark, "/root/testdata/sf0.01")
+    boxes = inputs.gazetteer.collect()
+    assert len(boxes) == 25 and len({round(max(b.north - b.south, b.east - b.west), 3) for b in boxes}) > 5
+    points = inputs.alert_src.select("alert_id", "latitude", "longitude")
+    found = place_lookup(points, inputs.gazetteer).collect()
+    for r in found:
+        inside = [b.town for b in boxes if b.south <= r.latitude < b.north and b.west <= r.longitude < b.east]
+        assert [r.town] == (inside or ["default"])
+    assert len({r.town for r in found}) > 15 and {"default", "T24"} <= {r.town for r in found}
+
+
 THINGS = [(1, 10, 100), (2, 10, 200), (3, 20, 100)]
 
 
