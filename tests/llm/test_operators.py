@@ -186,6 +186,20 @@ def test_near_copies_around_the_limit(spark):
     assert sorted(r[0] for r in simhash.near_copies(frame).collect()) == want
 
 
+def test_near_copies_in_crowded_groups_lose_nothing(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    texts = []
+    for _ in range(3):
+        base = [word() for _ in range(120)]
+        for _ in range(25):
+            n, at = rng.randint(1, 14), rng.randrange(100)
+            texts.append(" ".join([*base[:at], *[word() for _ in range(n)], *base[at + n :]]))
+    want, _ = slow_near_copies(texts)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    assert sorted(r[0] for r in simhash.near_copies(frame, crowded=2).collect()) == want
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, 120), (120, 110), (7, 7)]
     found = {r.node: r.label for r in components(spark.createDataFrame(links, "a LONG, b LONG")).collect()}
