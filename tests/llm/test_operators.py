@@ -200,6 +200,22 @@ def test_near_copies_in_crowded_groups_lose_nothing(spark):
     assert sorted(r[0] for r in simhash.near_copies(frame, crowded=2).collect()) == want
 
 
+def test_near_copies_follow_chains_of_edits(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    texts = []
+    for k in range(30):
+        # The middle text is close to the first and far, but not too far, from the third.
+        first = [word() for _ in range(200)]
+        middle = [*first[:20], *[word() for _ in range(1 + k % 10)], *first[21 + k % 10 :]]
+        third = [*middle[:120], *[word() for _ in range(17)], *middle[137:]]
+        texts += [" ".join(t) for t in (first, middle, third)]
+    want, alike = slow_near_copies(texts)
+    assert sum(alike[k, k + 1] >= 0.8 and alike[k + 1, k + 2] >= 0.8 > alike[k, k + 2] for k in range(0, 90, 3)) > 10
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    assert sorted(r[0] for r in simhash.near_copies(frame).collect()) == want
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, 120), (120, 110), (7, 7)]
     found = {r.node: r.label for r in components(spark.createDataFrame(links, "a LONG, b LONG")).collect()}
