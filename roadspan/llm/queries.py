@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspan.llm import blob_ledger, content_sort, context_mixing, crf, deobfuscation, flow_shards, merge_replay, nb_linear, simhash, spaced_seeds
+from roadspan.llm import blob_ledger, content_sort, context_mixing, crf, deobfuscation, flow_shards, merge_replay, nb_linear, orchard, periodic_runs, simhash, spaced_seeds, warc
 from roadspan.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,6 +207,72 @@ def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return context_mixing.read_ids(spark, path).withColumnRenamed("id", "doc_id")
 
+@query
+def op11_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def _lloyd(k: int, rounds: int) -> str:
+    """The rounds as one chain of common tables: centroids cN as a list, assignments aN, sums."""
+    apart = "list_sum(list_transform(list_zip(v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    near = f"list_min(list_transform(cs, lambda c: {{'d': {apart}, 'c': c.c}}))"
+    steps = f"""
+raw AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT list({{'c': c, 'v': v}} ORDER BY c) AS cs FROM (
+        SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+        FROM (SELECT v, sha256('2:' || vec_id) AS h FROM raw ORDER BY h, v LIMIT {k}))
+), a0 AS MATERIALIZED (SELECT vec_id, v, {near} AS m FROM raw, c0)"""
+    for n in range(1, rounds + 1):
+        steps += f""", s{n} AS (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+        SELECT m.c AS c, i, sum(v[i]) AS s, count(*) AS n FROM a{n - 1}, range(1, 65) AS r(i) GROUP BY ALL) GROUP BY c
+), c{n} AS MATERIALIZED (
+    SELECT list({{'c': o.c, 'v': coalesce(s.v, o.v)}} ORDER BY o.c) AS cs
+    FROM (SELECT unnest(cs, recursive := true) FROM c{n - 1}) AS o LEFT JOIN s{n} AS s USING (c)
+), a{n} AS MATERIALIZED (SELECT vec_id, v, {near} AS m FROM raw, c{n})"""
+    return f"""
+WITH {steps}
+SELECT vec_id, m.c::INT AS cluster, m.d::BIGINT AS distance,
+       (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia, (sum(m.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(cs[m.c + 1].v, ',')) AS centroid_sha256
+FROM a{rounds}, c{rounds}
+"""
+
+
+ORACLES["op11_orchard"] = _lloyd(40, 5)
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document, by the crc32 of its id, repeats its words from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    chosen = chosen.withColumn("a", F.when(F.size("w") > 0, (F.col("g") % F.size("w")).cast("int")))
+    rest = F.size("w") - F.col("a")
+    chosen = chosen.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil(rest / F.col("p")).cast("int")
+    block = F.slice("w", F.col("a") + 1, F.col("p"))
+    again = F.slice(F.flatten(F.array_repeat(block, times)), F.lit(1), rest)
+    remade = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), again), " ")
+    return chosen.select("doc_id", F.when(F.col("a").isNotNull(), remade).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs.find_runs(planted_runs(table(spark, sf_dir, "documents")))
+    return periodic_runs.digests(runs).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write(table(spark, sf_dir, "pages"), gzip=True)
+    return warc.records(warc.read(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
