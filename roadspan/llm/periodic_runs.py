@@ -37,9 +37,9 @@ SHORTEST = 6  # words of the shortest run
 # A tile is at least this long; an octave of longer periods has tiles of 8 g words.
 TILE_WORDS = 16_384
 # Tiles solved side by side hold about so many words.
-STREAM_WORDS = 500_000
+STREAM_WORDS = 200_000
 # Texts are split into words by so many characters at a time.
-CHUNK_CHARS = 3_000_000
+CHUNK_CHARS = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
