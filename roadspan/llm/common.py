@@ -27,6 +27,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """The stored steps of one operator, in one folder that goes when the result is stored."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, scratch_path(spark, name)
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        remove_folder(self.spark, self.folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has made."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
