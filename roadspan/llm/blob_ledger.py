@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspan.llm.common import join_with_hot_keys, scratch_path, stored
+from roadspan.llm.common import join_with_hot_keys, scratch_path, sized, stored
 
 
 @dataclass(frozen=True)
@@ -40,8 +40,9 @@ RULES = (
     ),
     Rule("access", 1, r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", 1, r"[0-9a-f]{24,}"),
-    Rule("pem", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
+    Rule("pem", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # Only from the start of a run of its characters, so that no run is read more than once.
+    Rule("jwt", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
 )
 BASE = ("assign", "access", "hex")
 SPAN = "struct<start: int, kind_no: int, end: int>"
@@ -98,22 +99,20 @@ class BlobLedger:
         Null texts are the empty blob. Copies of a blob are one before anything moves.
         """
         text = F.coalesce(F.col(text_col), F.lit(""))
-        blobs = (
-            versions.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("text"))
-            .groupBy("blob")
-            .agg(F.first("text").alias("text"))
-        )
+        rows = versions.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("text"))
         names = F.array(*[F.lit(r.name) for r in self.rules])
         seen = self._read()
-        if not seen.isEmpty():
+        if seen.isEmpty():
+            todo = rows.groupBy("blob").agg(F.first("text").alias("text")).withColumn("unseen", names)
+        else:
             known = seen.select("blob", F.explode("found.rule").alias("rule")).groupBy("blob").agg(
                 F.collect_set("rule").alias("known")
             )
-            blobs = blobs.join(known, "blob", "left")
             unseen = F.array_except(names, F.coalesce("known", F.array().cast("array<string>")))
-        else:
-            unseen = names
-        todo = blobs.withColumn("unseen", unseen).filter(F.size("unseen") > 0)
+            # Hashes tell what is new before any text moves.
+            new = rows.select("blob").distinct().join(known, "blob", "left").select("blob", unseen.alias("unseen"))
+            new = sized(stored(new.filter(F.size("unseen") > 0), "unseen"))
+            todo = rows.join(new, "blob").groupBy("blob").agg(F.first("text").alias("text"), F.first("unseen").alias("unseen"))
         found = F.array(
             *[
                 F.when(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,12 +46,16 @@ def op1_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _places(n: int, rule: blob_ledger.Rule) -> str:
-    pattern = rule.pattern.replace("'", "''")
+    """Matches as a list. What must not stand before a match is asked of the found ones, as the
+    engine knows no such pattern; in the given tables no match hides another by it."""
+    pattern, barred = rule.pattern.replace("'", "''"), "false"
+    if behind := re.match(r"\(\?<!(\[[^]]*\])\)", pattern):
+        pattern, barred = pattern[behind.end() :], f"x.a > 0 AND regexp_matches(t[x.a::BIGINT], '{behind[1]}')"
     return f"""list_filter(list_transform(range(1, len(regexp_extract_all(t, '{pattern}')) + 1), lambda i: {{
         'a': list_sum(list_transform(string_split_regex(t, '{pattern}')[1:i], lambda x: length(x)))
              + coalesce(list_sum(list_transform(regexp_extract_all(t, '{pattern}')[1:i - 1], lambda x: length(x))), 0),
         'k': {n}, 'n': length(regexp_extract_all(t, '{pattern}')[i]),
-        's': length(regexp_extract_all(t, '{pattern}', {rule.group})[i])}}), lambda x: x.s >= {rule.least})"""
+        's': length(regexp_extract_all(t, '{pattern}', {rule.group})[i])}}), lambda x: x.s >= {rule.least} AND NOT ({barred}))"""
 
 
 def _written(rows: str) -> str:
