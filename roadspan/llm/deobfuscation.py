@@ -46,9 +46,9 @@ _WORD = "|".join(NUMBER_WORDS)
 _GLYPH = re.compile("[" + "".join(map(re.escape, HOMOGLYPHS)) + "]")
 _AT = r"(?:\s*[\(\[\{<]\s*at\s*[\)\]\}>]\s*|\s*@\s*|\s+at\s+)"
 _DOT = r"(?:\s*[\(\[\{<]\s*dot\s*[\)\]\}>]\s*|\s+dot\s+)"
-_ADDRESS = re.compile(
-    rf"[A-Za-z0-9_%+-]+(?:(?:\.|{_DOT})[A-Za-z0-9_%+-]+)*{_AT}[A-Za-z0-9-]+(?:(?:\.|{_DOT})[A-Za-z0-9-]+)+", re.I
-)
+# Possessive throughout: a chain of names is read once, whatever follows it.
+_NAMES = re.compile(rf"[A-Za-z0-9_%+-]++(?:(?:\.|{_DOT})[A-Za-z0-9_%+-]++)*+", re.I)
+_HOST = re.compile(rf"[A-Za-z0-9-]++(?:(?:\.|{_DOT})[A-Za-z0-9-]++)++", re.I)
 _QUAD = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:\.|{_DOT})[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 _AT_MARK, _DOT_MARK = re.compile(_AT, re.I), re.compile(_DOT, re.I)
 _BRACKETED_AT = re.compile(r"[\(\[\{<]\s*at\s*[\)\]\}>]", re.I)
@@ -94,16 +94,29 @@ def detect(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of names, an "at" and a host; each chain of names is tried once, from its start."""
+    at = 0
+    while names := _NAMES.search(text, at):
+        at = names.end()
+        mark = _AT_MARK.match(text, at)
+        host = mark and _HOST.match(text, mark.end())
+        if host:
+            at = host.end()
+            yield names.start(), at
+
+
 def _rewrites(text: str) -> list[tuple[int, int, str]]:
     """(start, end, replacement) of disguised pieces, apart from homoglyphs."""
     found = []
     if _DISGUISE.search(text):
-        for m in _ADDRESS.finditer(text):
+        for start, end in _addresses(text):
+            address = text[start:end]
             # Plain words "at" and "." alone are prose; one of the marks must be a disguise.
-            if not (_DOT_MARK.search(m[0]) or _BRACKETED_AT.search(m[0])):
+            if not (_DOT_MARK.search(address) or _BRACKETED_AT.search(address)):
                 continue
             for mark, sign in ((_AT_MARK, "@"), (_DOT_MARK, ".")):
-                found += [(m.start() + x.start(), m.start() + x.end(), sign) for x in mark.finditer(m[0])]
+                found += [(start + x.start(), start + x.end(), sign) for x in mark.finditer(address)]
         for m in _QUAD.finditer(text):
             found += [(m.start() + x.start(), m.start() + x.end(), ".") for x in _DOT_MARK.finditer(m[0])]
     if _PAIR.search(text):
@@ -163,7 +176,11 @@ def all_spans(text: str | None) -> tuple[list, list]:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, base, added) per row: arrays of (start, kind_no, end), in code points, sorted."""
+    """(id, base, added) per row: arrays of (start, kind_no, end), in code points, sorted.
+
+    Null and empty texts have none; null ids and repeated rows give a row each. The time for a
+    text grows with its length, whatever it holds.
+    """
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows(spans: list) -> list[dict]:
