@@ -71,7 +71,6 @@ def replay(words: list[bytes], table: MergeTable) -> tuple[np.ndarray, np.ndarra
     before[(ends - lengths)[lengths > 0]] = -1
     rank = np.full(n, NONE, dtype=np.int32)
     live = np.ones(n, dtype=bool)
-    waiting = np.zeros(n, dtype=bool)
     index: dict[int, list[np.ndarray]] = {}
     queue: list[int] = []
 
@@ -101,11 +100,10 @@ def replay(words: list[bytes], table: MergeTable) -> tuple[np.ndarray, np.ndarra
         r = heapq.heappop(queue)
         at = np.unique(np.concatenate(index.pop(r)))
         while len(at := at[rank[at] == r]):
-            # Of places that overlap, as in "aaa", the leftmost goes first.
-            waiting[at] = True
-            left = before[at]
-            first = at[(left < 0) | ~waiting[left]]
-            waiting[at] = False
+            # Of places that overlap, as in "aaaa", every second goes, from the leftmost on.
+            linked = np.concatenate(([False], before[at[1:]] == at[:-1]))
+            number = np.arange(len(at))
+            first = at[(number - np.maximum.accumulate(np.where(linked, 0, number))) % 2 == 0]
             right = after[first]
             beyond = after[right]
             token[first] = r
