@@ -2,8 +2,9 @@
 
 Masks of fixed shape leave some token positions out of a hash, so that a substituted token
 there does not hide a passage. Hashes of all positions of the training texts meet those of
-the benchmark by an equality join; each hit names a document, an item and the distance
-between them, along which the tokens are then compared one by one.
+the benchmark by an equality join. A hit is verified by the windows around it, so what counts
+are the few tokens about its place in the document and in the item: places alike in them are
+one, and a text that repeats itself meets a benchmark that does so only a few times.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadspan.llm.common import sized, stored, without
+from roadspan.llm.common import BROADCAST_ROWS, sized, stored, without
 
 # 1 reads a token, 0 ignores it. Any two substitutions in 13 tokens leave one of the masks a
 # place where it sees neither (a test tries them all).
@@ -19,6 +20,10 @@ MASKS = ("11110111", "1100101111", "11011100101")
 WINDOW = 13
 MATCHES = 11
 SHORTEST = 5
+# Tokens in front of a seed that a window around it may reach.
+FRONT = WINDOW - min(map(len, MASKS))
+# Places of items go by broadcast up to this many; a place holds FRONT + WINDOW hashes.
+BROADCAST_PLACES = BROADCAST_ROWS // 8
 
 
 def token_hashes(text: Column) -> Column:
@@ -48,6 +53,47 @@ def _positions(rows: DataFrame, shapes: list[str]) -> DataFrame:
     )
 
 
+def _around(tokens: str, pos: str) -> Column:
+    """The FRONT tokens before a place and WINDOW from it on; null beyond the ends."""
+    return F.array(*[F.get(tokens, F.col(pos) + k) for k in range(-FRONT, WINDOW)])
+
+
+def _places(items: DataFrame, shapes: list[str]) -> DataFrame:
+    """(seed, item_id, window, sought): an item's seeds with the tokens around; equal places once.
+
+    Items of WINDOW tokens or more have the seeds of the masks, shorter ones one of themselves whole.
+    """
+    size = F.size("tokens")
+    long = items.filter(size >= WINDOW).select(
+        "item_id", "tokens", F.lit(WINDOW).alias("window"), F.explode(F.expr("sequence(0, size(tokens) - 1)")).alias("at")
+    )
+    found = long.select(
+        "item_id", "window", F.explode(_seeds("tokens", "at", list(MASKS))).alias("seed"), _around("tokens", "at").alias("sought")
+    )
+    short = items.filter(size < WINDOW).select("item_id", "tokens", size.alias("window"), F.lit(0).alias("at"))
+    whole = F.coalesce(
+        *[F.when(F.col("window") == len(s), F.get(_seeds("tokens", "at", shapes), F.lit(n))) for n, s in enumerate(shapes) if n >= len(MASKS)],
+        F.lit(None).cast("long"),
+    )
+    found = found.unionByName(short.select("item_id", "window", whole.alias("seed"), _around("tokens", "at").alias("sought")))
+    return found.filter("seed is not null").distinct()
+
+
+def _best_window() -> Column:
+    """(matches, back) of the best window around a hit, the first of equals; back is minus its place."""
+    same = [F.when(F.get("near", F.lit(k)) == F.get("sought", F.lit(k)), 1).otherwise(0) for k in range(FRONT + WINDOW)]
+
+    def window(first: int, n: Column | int) -> Column:
+        held = [F.when(F.lit(k) < n, same[first + k]).otherwise(0) if isinstance(n, Column) else same[first + k] for k in range(WINDOW)]
+        return F.struct(sum(held[1:], held[0]).alias("matches"), (FRONT - first - F.col("pos")).alias("back"))
+
+    inside = [
+        F.when(F.get("sought", F.lit(k)).isNotNull() & F.get("sought", F.lit(k + WINDOW - 1)).isNotNull(), window(k, WINDOW))
+        for k in range(FRONT + 1)
+    ]
+    return F.when(F.col("window") == WINDOW, F.array_max(F.array(*inside))).otherwise(window(FRONT, F.col("window")))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -74,36 +120,25 @@ def contaminated(
     tokens = docs.filter(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), token_hashes(F.col(text_col)).alias("tokens")
     )
-    seeds = stored(
-        _positions(items.withColumnRenamed("item_id", "id"), shapes)
-        .select("seed", F.col("id").alias("item_id"), F.col("pos").alias("at"))
-        .distinct(),
-        "seeds",
-    )
+    places = stored(_places(items, shapes), "places")
     hits = stored(
-        _positions(tokens, shapes)
-        .join(sized(seeds), "seed")
-        .select("id", "item_id", (F.col("pos") - F.col("at")).alias("shift"))
-        .distinct(),
-        "hits",
+        _positions(tokens, shapes).join(sized(places.select("seed").distinct()), "seed", "left_semi"), "hits"
     )
-    # The texts of the documents that were hit are read once more to compare whole passages.
+    # The texts of the documents that were hit are read once more for the tokens around the hits.
     wanted = sized(stored(hits.select(F.col("id").alias("_id")).distinct(), "hit-ids"))
-    near = tokens.join(wanted, F.col("id") == F.col("_id"), "left_semi")
-    pairs = near.join(sized(hits), "id").join(
-        sized(items.withColumnRenamed("tokens", "sought")), "item_id"
-    )
-    same = F.expr(
-        "transform(sought, (t, k) -> if(get(tokens, int(shift + k)) = t, 1, 0))"
-    )
-    sums = F.expr(
-        f"transform(sequence(0, size(same) - window),"
-        " j -> struct(aggregate(slice(same, j + 1, window), 0, (s, x) -> s + coalesce(x, 0)) as matches, -(shift + j) as back))"
+    near = (
+        tokens.join(wanted, F.col("id") == F.col("_id"), "left_semi")
+        .filter(F.size("tokens") >= SHORTEST)
+        .select("id", "tokens", F.explode(F.expr("sequence(0, size(tokens) - 1)")).alias("pos"))
+        .select("id", "pos", F.explode(_seeds("tokens", "pos", shapes)).alias("seed"), _around("tokens", "pos").alias("near"))
+        .join(sized(places.select("seed").distinct()), "seed", "left_semi")
+        .groupBy("id", "seed", "near")
+        .agg(F.min("pos").alias("pos"))
     )
+    sought = F.broadcast(places) if places.count() <= BROADCAST_PLACES else places
     best = (
-        pairs.withColumn("same", same)
-        .withColumn("window", F.least(F.size("sought"), F.lit(WINDOW)))
-        .withColumn("best", F.array_max(sums))
+        near.join(sought, "seed")
+        .withColumn("best", _best_window())
         .filter(F.col("best.matches") >= F.when(F.col("window") == WINDOW, MATCHES).otherwise(F.col("window")))
     )
     return (
