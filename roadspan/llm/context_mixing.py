@@ -33,7 +33,9 @@ BLOCKS_PER_ROW = 2048
 TABLE_BITS = 10
 CHANCE_BITS = 12
 CASES = 4
-PIECE_CHARS = 16_000_000
+PIECE_CHARS = 2_000_000
+# Characters that one call of the tokenizer gets; it takes some hundred bytes for each.
+CALL_CHARS = 200_000
 SEPARATOR = "\x02"
 
 # Four cumulative chances (case 0, 0 or 1, 0 to 2, any) are 16-bit fields of one number, so that
@@ -264,8 +266,20 @@ class Tokens:
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words in a row, and how many each has.
 
-        A word of one control character, which no other holds, parts them in a single text.
+        A word of one control character, which no other holds, parts them in texts of about
+        CALL_CHARS characters.
         """
+        found, sizes, start, held = [], [], 0, 0
+        for at, word in enumerate([*words, None]):
+            if at > start and (word is None or held + len(word) > CALL_CHARS):
+                ids, lengths = self._encode_together(words[start:at])
+                found.append(ids)
+                sizes.append(lengths)
+                start, held = at, 0
+            held += 0 if word is None else len(word) + 3
+        return np.concatenate(found), np.concatenate(sizes)
+
+    def _encode_together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.separator) == 1 and not any(SEPARATOR in w for w in words):
             [coded] = self._batch([f" {SEPARATOR} ".join(words)])
             parting = coded == self.separator[0]
