@@ -508,11 +508,11 @@ def test_queries_match_sql(spark):
     from roadspan.llm import queries
 
     duck = duckdb.connect()
-    for name in ("documents", "benchmark", "labels"):
+    for name in ("documents", "benchmark", "labels", "embeddings"):
         duck.sql(f"CREATE VIEW {name} AS SELECT * FROM '{os.path.join(SF, name)}.parquet'")
     for name, sql in queries.oracle_sql().items():
         found = queries.queries()[name](spark, SF).toPandas()
         want = duck.sql(sql).df()[list(found.columns)]
-        key = [c for c in ("doc_id", "item_id") if c in found]
+        key = [c for c in ("doc_id", "item_id", "vec_id") if c in found]
         found, want = (x.sort_values(key).reset_index(drop=True) for x in (found, want))
         assert len(found) == len(want) and all((found[c] == want[c]).all() for c in found)
