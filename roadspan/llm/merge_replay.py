@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NONE = np.iinfo(np.int32).max
-CHUNK_CHARS = 2_000_000
-SEEN_WORDS = 300_000
+CHUNK_CHARS = 500_000
+SEEN_WORDS = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
