@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadspan.operators import facts, kpi, live
-from roadspan.plans import live_queries, warehouse
+from roadspan.operators import facts, kpi
+from roadspan.plans import stream_queries, warehouse
 from roadspan.plans.fixtures import AS_OF, Inputs
 from roadspan.plans.oracle import label, r6
 from roadspan.plans.registry import register, rounded
@@ -26,7 +26,7 @@ def vehicle_fact_history(i: Inputs) -> DataFrame:
 
 
 def live_rows(i: Inputs) -> DataFrame:
-    return live_queries.day_state(i)
+    return stream_queries.live_vehicle_days(i)
 
 
 def alert_history(i: Inputs) -> DataFrame:
@@ -37,7 +37,7 @@ def alert_history(i: Inputs) -> DataFrame:
 
 
 def live_alerts(i: Inputs) -> DataFrame:
-    return live.live_alerts(live_queries.today_alerts(i), i.gazetteer)
+    return stream_queries.live_alert_days(i)
 
 
 def _period(grain: str) -> dict[str, int]:

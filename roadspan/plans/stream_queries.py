@@ -11,7 +11,7 @@ from roadspan import schemas
 from roadspan.operators import live, models
 from roadspan.operators.loading import latest_by_key
 from roadspan.operators.scaling import materialise, shared_folder
-from roadspan.plans.fixtures import VIEWS, Inputs
+from roadspan.plans.fixtures import AS_OF, VIEWS, Inputs
 from roadspan.plans.oracle import r6
 from roadspan.plans.registry import query, rounded
 from roadspan.sources.tables import KeyedTable
@@ -110,14 +110,51 @@ def _state_stream(i: Inputs) -> DataFrame:
 )
 def _alert_stream(i: Inputs) -> DataFrame:
     folder = run_folder(i, "alerts")
-    table = KeyedTable(f"{folder}/table", ["type_id", "event_id", "user_id"], ["alert_number"])
+    table = KeyedTable(f"{folder}/table", jobs.ALERT_KEYS, ["alert_number"])
     messages = alert_messages(streamed(i, "alert_src"))
     jobs.alert_job(messages, table, i.gazetteer, f"{folder}/checkpoint", every=None).awaitTermination()
-    return table.read(i.spark, schemas.live_schema("alert")).select(
-        "type_id", "event_id", "user_id", "alert_number", "full_date"
+    days = table.read(i.spark, schemas.live_schema("alert"))
+    return days.groupBy("type_id", "event_id", "user_id").agg(
+        F.sum("alert_number").alias("alert_number"), F.max("full_date").alias("full_date")
     )
 
 
+def _live_table(i: Inputs, name: str, keys: list[str], order: list[str], run) -> KeyedTable:
+    """A live table of the as-of day, written by its job once per session and data folder."""
+    wanted = (i.spark.sparkContext.applicationId, i.sf_dir, name)
+    if wanted not in LIVE_TABLES:
+        folder = run_folder(i, name)
+        table = KeyedTable(f"{folder}/table", keys, order)
+        run(table, f"{folder}/checkpoint")
+        LIVE_TABLES[wanted] = table
+    return LIVE_TABLES[wanted]
+
+
+LIVE_TABLES: dict[tuple, KeyedTable] = {}
+
+
+def live_vehicle_days(i: Inputs) -> DataFrame:
+    """The live rows (thing_id, full_date) that the state job keeps."""
+
+    def run(table: KeyedTable, checkpoint: str) -> None:
+        today = streamed(i, "trace_src").filter(F.col("trace_date_day") == F.lit(AS_OF))
+        jobs.vehicle_state_job(position_messages(today), table, checkpoint, every=None).awaitTermination()
+
+    table = _live_table(i, "vehicle-days", ["thing_id", "full_date"], ["trace_date"], run)
+    return table.read(i.spark, schemas.live_schema("vehicle_performance"))
+
+
+def live_alert_days(i: Inputs) -> DataFrame:
+    """The live rows (type, event, user, full_date) that the alert job keeps."""
+
+    def run(table: KeyedTable, checkpoint: str) -> None:
+        today = streamed(i, "alert_src").filter(F.col("alert_day") == F.lit(AS_OF))
+        jobs.alert_job(alert_messages(today), table, i.gazetteer, checkpoint, every=None).awaitTermination()
+
+    table = _live_table(i, "alert-days", jobs.ALERT_KEYS, ["alert_number"], run)
+    return table.read(i.spark, schemas.live_schema("alert"))
+
+
 @query("rul_score_stream")
 def _score(i: Inputs) -> DataFrame:
     """The newest row of each vehicle, scored by a model fitted on all rows."""

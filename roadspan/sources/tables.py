@@ -69,12 +69,18 @@ class KeyedTable:
             rows = before.unionByName(changed.withColumn("batch_id", F.lit(batch_id).cast("long")))
             self._newest(rows).write.mode("overwrite").parquet(f"{self.path}/full/batch_id={batch_id}")
 
+    def changes(self, spark: SparkSession, schema: T.StructType, batch_id: int) -> DataFrame:
+        """The rows that one batch has written."""
+        return spark.read.schema(schema).parquet(f"{self.path}/changes/batch_id={batch_id}")
+
     def read(
-        self, spark: SparkSession, schema: T.StructType, before: int | None = None
+        self, spark: SparkSession, schema: T.StructType, before: int | None = None, only: DataFrame | None = None
     ) -> DataFrame:
-        """Newest rows; with ``before`` only of the batches below that number."""
+        """Newest rows; with ``before`` only of the batches below that number, with ``only``
+        just those whose keys are in that frame."""
         if before is not None:
-            return self._newest(self._before(spark, schema, before))
+            rows = self._before(spark, schema, before)
+            return self._newest(rows if only is None else rows.join(only, self.keys, "left_semi"))
         full = self._stored(spark, schema, "full", [f"{self.path}/full"])
         changes = self._stored(spark, schema, "changes", [f"{self.path}/changes"])
         # Only footers are read for the number; the filters then pick folders.

@@ -18,14 +18,18 @@ from roadspan.functions.scalars import with_date_attributes
 from roadspan.operators import live, models
 from roadspan.operators.loading import conform_to_schema
 from roadspan.operators.places import place_lookup
+from roadspan.operators.scaling import broadcast_if_small
 from roadspan.sources.tables import KeyedTable
 from roadspan.streaming import decode
-from roadspan.streaming.state import vehicle_state_stream, window_features
+from roadspan.streaming.state import fold_events, state_ddl, window_features
 
 # Processing-time triggers.
 POSITION_TRIGGER = "10 seconds"
 STATE_TRIGGER = "10 seconds"
 ALERT_TRIGGER = "2 seconds"
+# How far an alert may lag behind the newest one.
+ALERT_LATENESS = "1 day"
+ALERT_KEYS = ["type_id", "event_id", "user_id", "full_date"]
 
 LAST_SPEED_SCHEMA = "thing_id INT, last_speed INT, trace_date TIMESTAMP, trace_id STRING"
 
@@ -92,19 +96,34 @@ def vehicle_state_job(
     model: PipelineModel | None = None,
     every: str | None = STATE_TRIGGER,
 ) -> StreamingQuery:
-    """Maintain one live row per vehicle, with a predicted remaining life if a fitted
-    model is given; the model is held by the job, not loaded per row."""
-    schema = schemas.live_schema("vehicle_performance")
+    """Maintain one live row per key of the table, (thing_id) or (thing_id, full_date).
+
+    The fold is resumed from the states of the batches before, which are a keyed table of their
+    own beside the live one; a batch that runs again starts from the same states and replaces
+    what it wrote. With a fitted model, rows get a predicted remaining life; the model is held
+    by the job, not loaded per row.
+    """
+    schema, keys = schemas.live_schema("vehicle_performance"), table.keys
+    kept = StructType.fromDDL(state_ddl(keys))
+    states = KeyedTable(f"{table.path}/state", keys, ["trace_date"], table.full_every)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = live.constant_features(window_features(batch))
+        spark = batch.sparkSession
+        events = batch.filter("thing_id is not null and trace_date is not null")
+        events = events.withColumn("full_date", F.to_date("trace_date")).persist()
+        touched = broadcast_if_small(events.select(*keys).distinct())
+        known = states.read(spark, kept, before=batch_id, only=touched)
+        states.upsert(conform_to_schema(fold_events(events, known, keys), kept), batch_id)
+        events.unpersist()
+        rows = live.constant_features(window_features(states.changes(spark, kept, batch_id)))
+        rows = rows.withColumn("km_after_last_maintenance", F.col("traveled_distance"))
         if model is not None:
             filled = rows.fillna(0.0, subset=[c for c in models.RUL_FEATURES if c != "thing_id"])
             rows = models.rul_score(model, filled)
         rows = with_date_attributes(rows, F.to_date("trace_date"), quarter_as_text=False)
         table.upsert(conform_to_schema(rows, schema), batch_id)
 
-    return _start(vehicle_state_stream(positions(messages)), sink, checkpoint, "update", every)
+    return _start(positions(messages), sink, checkpoint, "append", every)
 
 
 def alert_job(
@@ -113,25 +132,28 @@ def alert_job(
     gazetteer: DataFrame,
     checkpoint: str,
     every: str | None = ALERT_TRIGGER,
+    late: str = ALERT_LATENESS,
 ) -> StreamingQuery:
-    """Count alerts per (type, event, user) and keep the newest one's place and day.
+    """Count alerts per (type, event, user) and day, and keep the newest one's place.
 
-    The count is a built-in streaming aggregate: it combines before the shuffle, so a
-    key with very many alerts is no heavier than another.
+    The count is a built-in streaming aggregate: it combines before the shuffle, so a key with
+    very many alerts is no heavier than another. A day's counts leave the state once the event
+    time has passed its end by ``late``; alerts of such a day that come later still are left
+    out. The live table keeps what was counted; its key is (type, event, user, full_date).
     """
     schema = schemas.live_schema("alert")
     rows = decode.good(decode.json_decode_flatten(messages, schemas.ALERT_MESSAGE))
-    rows = decode.with_event_time(rows, "event_date")
+    rows = decode.with_event_time(rows, "event_date").withWatermark("event_date", late)
     newest = F.max_by(F.struct("latitude", "longitude"), F.col("event_date"))
-    counted = rows.groupBy("type_id", "event_id", "user_id").agg(
+    counted = rows.groupBy("type_id", "event_id", "user_id", F.window("event_date", "1 day")).agg(
         F.count("*").alias("alert_number"),
-        F.max("event_date").alias("event_date"),
+        F.max("event_date").alias("_newest"),
         newest.alias("_place"),
     )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        placed = place_lookup(batch.select("*", "_place.*").drop("_place"), gazetteer)
-        dated = with_date_attributes(placed, F.to_date("event_date"), quarter_as_text=False)
+        placed = place_lookup(batch.select("*", "_place.*").drop("_place", "window"), gazetteer)
+        dated = with_date_attributes(placed, F.to_date("_newest"), quarter_as_text=False)
         named = dated.withColumnsRenamed({"town": "municipality", "state": "province"})
         table.upsert(conform_to_schema(named, schema), batch_id)
 

@@ -1,124 +1,148 @@
-"""The per-vehicle fold as a stateful streaming operator.
-
-The batch form of the same fold is ``operators.live.vehicle_states``. Here Spark
-partitions the stream by vehicle and keeps each vehicle's state in its state store;
-the function below only folds one vehicle's events of one micro-batch, whose size
-the source bounds.
+"""The resumable fold of the live state: what a key has become, and its new events.
+
+The batch form, ``operators.live.vehicle_states``, gives the state after every event. Here
+the stored state of a key takes part as one more row, placed at its own time before all events
+of that time, and the events behind it are folded by the same windows and slices; the result
+is merged with what the state has summed up. So any split of a stream into batches gives the
+state of the whole, a key with very many events is cut into slices as elsewhere, and all of it
+runs in built-in expressions.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from roadspan.functions.scalars import EARTH_RADIUS_KM
+from roadspan.functions.scalars import haversine_km, seconds_between
 from roadspan.operators.live import FUEL_PER_EVENT, ROLLING_BEFORE
-
-# The fold travels to the executors by value, so they need not have the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from roadspan.operators.timeline import Timeline, hot_cuts
 
 WINDOW = ROLLING_BEFORE + 1
 
 STATE = (
-    "event_us BIGINT, trace_id STRING, avg_speed DOUBLE, max_speed DOUBLE, idle_time BIGINT, "
+    "trace_date TIMESTAMP, trace_id STRING, avg_speed DOUBLE, max_speed DOUBLE, idle_time BIGINT, "
     "active_time BIGINT, fuel DOUBLE, traveled_distance DOUBLE, latitude DOUBLE, longitude DOUBLE, "
     "engine_status INT, oil_window ARRAY<DOUBLE>, fuel_window ARRAY<DOUBLE>"
 )
-OUTPUT = "thing_id INT, " + STATE
+# The carried row of a key has _event 0 and comes before the events of its time.
+ORDER = ["trace_date", "_event", "trace_id"]
+KEY_TYPES = {"thing_id": "INT", "full_date": "DATE"}
 
 
-def _steps_km(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
-    """Distances between neighbours; 0 where a coordinate is missing."""
-    lat, lon = np.radians(lat), np.radians(lon)
-    half = (
-        np.sin(np.diff(lat) / 2) ** 2
-        + np.cos(lat[:-1]) * np.cos(lat[1:]) * np.sin(np.diff(lon) / 2) ** 2
-    )
-    return np.nan_to_num(2 * EARTH_RADIUS_KM * np.arcsin(np.minimum(1.0, np.sqrt(half))))
+def state_ddl(keys: list[str]) -> str:
+    return ", ".join([*[f"{k} {KEY_TYPES[k]}" for k in keys], STATE])
 
 
-def _none(value):
-    return None if value is None or pd.isna(value) else value
+def _rows(events: DataFrame, states: DataFrame, keys: list[str]) -> DataFrame:
+    shown = ["trace_date", "trace_id", "latitude", "longitude", "engine_status"]
+    read = ["speed", "oil_value", "fuel_liters"]
+    new = events.select(*keys, *shown, *[F.col(c).cast("double") for c in read], F.lit(1).alias("_event"))
+    carried = states.select(
+        *keys, *shown, *[F.lit(None).cast("double").alias(c) for c in read], F.lit(0).alias("_event")
+    )
+    return new.unionByName(carried)
 
 
-def fold(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Fold one vehicle's new events into its state, in time order.
+def summaries(events: DataFrame, states: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: what the events add to its state.
 
-    An event older than the state counts for speeds and fuel; it adds no time and no
-    distance and does not move the vehicle back.
+    ``states`` holds the stored rows of these keys. An event older than its key's state counts
+    for speeds and fuel only.
     """
-    events = pd.concat(list(batches)).sort_values(["event_us", "trace_id"], na_position="first")
-    old = state.get if state.exists else (None,) * 11 + ([], [])
-    at, last_id, avg, top, idle, active, fuel, distance, lat, lon, status, oils, fuels = old
-
-    speeds = events["speed"].dropna().astype(float)
-    for speed in speeds:
-        avg = speed if avg is None else (avg + speed) / 2
-    top = _none(pd.Series([top, *speeds], dtype=float).max())
-
-    levels = events["fuel_liters"].to_numpy(dtype=float)
-    steps = len(levels)
-    if fuel is None and not np.isnan(levels).all():
-        first = int(np.argmax(~np.isnan(levels)))
-        fuel, steps = float(levels[first]), steps - first - 1
-    fuel = None if fuel is None else fuel + FUEL_PER_EVENT * steps
-
-    # Whole seconds, as the event time is cut at ingest.
-    newer = events if at is None else events[events["event_us"] >= at]
-    if len(newer):
-        start = [] if at is None else [at]
-        seconds = np.diff(np.array([*start, *newer["event_us"]], dtype="int64")) // 1_000_000
-        steps_km = _steps_km(
-            np.array([*([lat] if start else []), *newer["latitude"]], dtype=float),
-            np.array([*([lon] if start else []), *newer["longitude"]], dtype=float),
+    rows = _rows(events, states, keys)
+    is_event, carried = F.col("_event"), 1 - F.col("_event")
+
+    def neighbours(w):
+        return {
+            "_at": F.lag("trace_date").over(w),
+            "_lat": F.lag("latitude").over(w),
+            "_lon": F.lag("longitude").over(w),
+        }
+
+    placed = (
+        Timeline(rows, keys, ORDER, hot_cuts(events, keys, "trace_date"))
+        .frame(1, 0, neighbours)
+        .running(
+            {"_events": ("sum", is_event), "_speeds": ("count", F.col("speed")), "_after": ("max", carried)}
+        )
+        .totals(
+            {"_all_events": ("sum", is_event), "_all_speeds": ("count", F.col("speed")), "_resumed": ("max", carried)}
         )
-        statuses = newer["engine_status"].to_numpy(dtype=float)[len(newer) - len(seconds) :]
-        idle = (idle or 0) + int(seconds[statuses == 0].sum())
-        active = (active or 0) + int(seconds[statuses == 1].sum())
-        distance = (distance or 0.0) + float(steps_km.sum())
-        oils = [_none(v) for v in [*oils, *newer["oil_value"]]][-WINDOW:]
-        fuels = [_none(v) for v in [*fuels, *newer["fuel_liters"]]][-WINDOW:]
-        last = newer.iloc[-1]
-        at, last_id = int(last["event_us"]), _none(last["trace_id"])
-        lat, lon, status = _none(last["latitude"]), _none(last["longitude"]), _none(last["engine_status"])
-
-    new = (
-        at, last_id, _none(avg), top, idle, active, fuel, distance, lat, lon,
-        None if status is None else int(status), oils, fuels,
-    )
-    state.update(new)
-    names = [field.split()[0] for field in OUTPUT.split(", ")]
-    yield pd.DataFrame([(key[0], *new)], columns=names)
-
-
-def vehicle_state_stream(events: DataFrame) -> DataFrame:
-    """Streaming rows with the new state of every vehicle that had events."""
-    columns = [
-        "thing_id", "trace_id", "event_us", "speed", "engine_status", "latitude", "longitude",
-        "oil_value", "fuel_liters",
-    ]
-    folded = (
-        events.filter(F.col("thing_id").isNotNull() & F.col("trace_date").isNotNull())
-        .withColumn("event_us", F.unix_micros("trace_date"))
-        .select(*columns)
-        .groupBy("thing_id")
-        .applyInPandasWithState(fold, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
+        .df
+    )
+    current = (F.col("_resumed") == 0) | (F.col("_after") == 1)
+    moved = current & (is_event == 1)
+    gap = F.when(moved, seconds_between(F.col("_at"), F.col("trace_date")))
+    step = F.when(moved, haversine_km(F.col("_lat"), F.col("_lon"), F.col("latitude"), F.col("longitude")))
+    place = F.struct(*ORDER)
+    # Each reading halves the weight of the earlier ones: the last has a half, the one before
+    # a quarter, and so on; what is left goes to the old value.
+    weight = F.pow(F.lit(2.0), F.col("_speeds") - F.col("_all_speeds") - 1)
+    from_end = F.col("_all_events") - F.col("_events")
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), place))
+
+    def last_values(column: str) -> Column:
+        held = F.collect_list(
+            F.when(moved & (from_end < WINDOW), F.struct((-from_end).alias("at"), F.col(column).alias("value")))
+        )
+        return F.transform(F.array_sort(held), lambda x: x["value"])
+
+    newest = F.struct("trace_date", "trace_id", "latitude", "longitude", "engine_status")
+    return placed.groupBy(*keys).agg(
+        F.count("speed").alias("_n"),
+        F.sum(F.col("speed") * weight).alias("_blend"),
+        first("speed").alias("_first_speed"),
+        F.max("speed").alias("_top"),
+        F.coalesce(F.sum(F.when(F.col("engine_status") == 0, gap)), F.lit(0)).alias("_idle"),
+        F.coalesce(F.sum(F.when(F.col("engine_status") == 1, gap)), F.lit(0)).alias("_active"),
+        F.coalesce(F.sum(step), F.lit(0.0)).alias("_km"),
+        F.sum(is_event).alias("_count"),
+        first("fuel_liters").alias("_first_fuel"),
+        F.min(F.when(F.col("fuel_liters").isNotNull(), F.col("_events"))).alias("_fuel_from"),
+        F.max_by(newest, F.when(current, place)).alias("_last"),
+        last_values("oil_value").alias("_oils"),
+        last_values("fuel_liters").alias("_fuels"),
+    )
+
+
+def fold_events(events: DataFrame, states: DataFrame, keys: list[str]) -> DataFrame:
+    """The new state of every key with events, from these and the stored states.
+
+    ``events`` have non-null keys and times. Keys are (thing_id), or (thing_id, full_date) for
+    a state that starts anew each day. Repeated events count each time.
+    """
+    named = states.select(*[F.col(k).alias(f"_old_{k}") for k in keys], F.struct("*").alias("_old"))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_old_{k}") for k in keys])
+    both = summaries(events, states, keys).join(named, same, "left")
+    old = lambda c: F.col(f"_old.{c}")
+    rest = F.pow(F.lit(2.0), -F.col("_n"))
+    blended = F.coalesce(old("avg_speed"), F.col("_first_speed")) * rest + F.col("_blend")
+    levels = F.when(
+        old("fuel").isNotNull(), old("fuel") + FUEL_PER_EVENT * F.col("_count")
+    ).otherwise(F.col("_first_fuel") + FUEL_PER_EVENT * (F.col("_count") - F.col("_fuel_from")))
+
+    def window(had: Column, new: Column) -> Column:
+        held = F.concat(F.coalesce(had, F.array().cast("array<double>")), new)
+        return F.slice(held, F.greatest(F.size(held) - WINDOW + 1, F.lit(1)), F.lit(WINDOW))
+
+    return both.select(
+        *keys,
+        "_last.trace_date",
+        "_last.trace_id",
+        F.when(F.col("_n") > 0, blended).otherwise(old("avg_speed")).alias("avg_speed"),
+        F.greatest(old("max_speed"), F.col("_top")).alias("max_speed"),
+        (F.coalesce(old("idle_time"), F.lit(0)) + F.col("_idle")).alias("idle_time"),
+        (F.coalesce(old("active_time"), F.lit(0)) + F.col("_active")).alias("active_time"),
+        levels.alias("fuel"),
+        (F.coalesce(old("traveled_distance"), F.lit(0.0)) + F.col("_km")).alias("traveled_distance"),
+        "_last.latitude",
+        "_last.longitude",
+        "_last.engine_status",
+        window(old("oil_window"), F.col("_oils")).alias("oil_window"),
+        window(old("fuel_window"), F.col("_fuels")).alias("fuel_window"),
     )
-    return folded.withColumns(
-        {
-            "trace_date": F.timestamp_micros("event_us"),
-            "km_after_last_maintenance": F.col("traveled_distance"),
-        }
-    ).drop("event_us")
 
 
 def window_features(states: DataFrame) -> DataFrame:

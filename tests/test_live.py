@@ -15,7 +15,7 @@ from roadspan.operators import live
 from roadspan.sources.messages import file_source
 from roadspan.sources.tables import KeyedTable
 from roadspan.streaming import decode, jobs
-from roadspan.streaming.state import window_features
+from roadspan.streaming.state import fold_events, state_ddl, window_features
 
 START = dt.datetime(2024, 1, 30)
 EVENTS = (
@@ -125,6 +125,35 @@ def test_stream_in_any_split_equals_batch(spark, tmp_path, split):
         assert r.trace_date == last[r.thing_id][2]
 
 
+@pytest.mark.parametrize("split", [1, 4])
+def test_days_start_anew_in_any_split(spark, slicing, tmp_path, split):
+    rows = sorted(((*r[:2], r[2] + dt.timedelta(hours=14), *r[3:]) for r in events(6)), key=lambda r: (r[2], r[1]))
+    size = -(-len(rows) // split)
+    write_batches(tmp_path / "in", [[message(r) for r in rows[k : k + size]] for k in range(0, len(rows), size)])
+    table = KeyedTable(str(tmp_path / "table"), ["thing_id", "full_date"], ["trace_date"], full_every=2)
+    source = file_source(spark, str(tmp_path / "in"), 1)
+    jobs.vehicle_state_job(source, table, str(tmp_path / "cp"), every=None).awaitTermination()
+    got = table.read(spark, schemas.live_schema("vehicle_performance")).collect()
+    days = {}
+    for r in rows:
+        days.setdefault((r[0], r[2].date()), []).append(r)
+    assert {(r.thing_id, r.full_date) for r in got} == set(days) and len({d for _, d in days}) == 2
+    for r in got:
+        own = days[r.thing_id, r.full_date]
+        assert close([r[c] for c in STATE], plain_fold(own)[own[-1][1]])
+        assert (r.day, r.trace_date) == (r.full_date.day, own[-1][2])
+
+
+def test_state_windows_hold_the_last_readings(spark):
+    keys = ["thing_id"]
+    rows = sorted((r for r in events(7, 400) if r[0] == 1), key=lambda r: (r[2], r[1]))
+    states = spark.createDataFrame([], state_ddl(keys))
+    for k in range(0, len(rows), 23):
+        states = spark.createDataFrame(fold_events(spark.createDataFrame(rows[k : k + 23], EVENTS), states, keys).collect(), state_ddl(keys))
+    [r] = states.collect()
+    assert r.oil_window == [x[7] for x in rows[-31:]] and r.fuel_window == [x[8] for x in rows[-31:]]
+
+
 def test_late_event_moves_nothing_back(spark, tmp_path):
     at = lambda m: START + dt.timedelta(minutes=m)
     first = [(1, "a", at(10), 50, 1, 36.0, 3.0, 1.0, 20.0), (1, "b", at(20), 60, 1, 36.1, 3.0, 1.0, 20.0)]
@@ -188,12 +217,29 @@ def test_alert_stream_counts_over_batches(spark, tmp_path):
         [(36.5, 36.52, 3.0, 3.2, "A", "SA", "X"), (36.52, 36.54, 3.0, 3.2, "B", "SB", "X")],
         "south DOUBLE, north DOUBLE, west DOUBLE, east DOUBLE, town STRING, state STRING, country STRING",
     )
-    table = KeyedTable(str(tmp_path / "alerts"), ["type_id", "event_id", "user_id"], ["alert_number"])
+    table = KeyedTable(str(tmp_path / "alerts"), jobs.ALERT_KEYS, ["alert_number"])
     jobs.alert_job(file_source(spark, str(tmp_path / "in"), 1), table, boxes, str(tmp_path / "cp"), every=None).awaitTermination()
     got = {r.user_id: (r.alert_number, r.municipality, r.province) for r in table.read(spark, schemas.live_schema("alert")).collect()}
     assert got == {1: (3, "A", "SA"), 2: (1, "default", "default")}
 
 
+def test_alert_days_leave_the_state(spark, tmp_path):
+    def alert(day, hour):
+        when = (START + dt.timedelta(days=day, hours=hour)).strftime("%Y-%m-%d %H:%M:%S")
+        return f"{{'type_id': 1, 'user_id': 1, 'event_id': 2, 'event_date': '{when}', 'latitude': 36.5, 'longitude': 3.1}}"
+
+    write_batches(tmp_path / "in", [[alert(0, 1), alert(0, 2)], [alert(1, 1), alert(0, 3)], [alert(4, 1)], [alert(4, 2)], [alert(0, 4)], [alert(5, 1)]])
+    boxes = spark.createDataFrame([], "south DOUBLE, north DOUBLE, west DOUBLE, east DOUBLE, town STRING, state STRING, country STRING")
+    table = KeyedTable(str(tmp_path / "alerts"), jobs.ALERT_KEYS, ["alert_number"])
+    query = jobs.alert_job(file_source(spark, str(tmp_path / "in"), 1), table, boxes, str(tmp_path / "cp"), every=None)
+    query.awaitTermination()
+    got = {(r.full_date - START.date()).days: r.alert_number for r in table.read(spark, schemas.live_schema("alert")).collect()}
+    # The last alert of the first day comes when its day has left the state.
+    assert got == {0: 3, 1: 1, 4: 2, 5: 1}
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) <= 3 and held[-1] <= 2
+
+
 def test_rejects_are_kept_per_batch(spark, tmp_path):
     good = message(events(1)[0])
     write_batches(tmp_path / "in", [[good, "no json", "{'thing_id': "], [good], ["no json", "7"]])
