@@ -132,11 +132,12 @@ def alert_fact(
     alert_event: DataFrame,
     alert_point: DataFrame,
     point: DataFrame,
+    alert_degre: DataFrame,
 ) -> DataFrame:
-    """Alert counts per vehicle, degree, event and point.
+    """Alert counts per vehicle, degree, event and point; alerts of unknown degree are left out.
 
     All bridge joins are on the alert key, so each input is shuffled once; the
-    point join comes after the count, which keeps its input small.
+    point and degree joins come after the count, which keeps their input small.
     """
     counted = (
         alert.join(alert_thing, "alert_id")
@@ -145,7 +146,8 @@ def alert_fact(
         .groupBy("thing_id", "alert_degre_id", "event_id", "point_id")
         .agg(F.count("*").alias("alert_count"))
     )
-    return counted.join(point.select("point_id"), "point_id").select(
+    known = counted.join(point.select("point_id"), "point_id")
+    return known.join(alert_degre.select("alert_degre_id").distinct(), "alert_degre_id", "left_semi").select(
         F.col("point_id").alias("location_id"),
         F.col("alert_degre_id").alias("type_id"),
         F.col("thing_id").alias("user_id"),
@@ -161,6 +163,7 @@ def alert_fact_dated(
     alert_event: DataFrame,
     alert_point: DataFrame,
     point: DataFrame,
+    alert_degre: DataFrame,
     date_dim: DataFrame,
 ) -> DataFrame:
     """The alert fact with the alert's own day as a further key."""
@@ -174,6 +177,7 @@ def alert_fact_dated(
     )
     return (
         counted.join(point.select("point_id"), "point_id")
+        .join(alert_degre.select("alert_degre_id").distinct(), "alert_degre_id", "left_semi")
         .join(broadcast_if_small(calendar), "alert_day")
         .select(
             F.col("point_id").alias("location_id"),

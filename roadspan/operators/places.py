@@ -1,98 +1,162 @@
-"""Coordinates to places by bounding boxes of a gazetteer."""
+"""Coordinates to places by bounding boxes of a gazetteer, found through a quadtree.
+
+A cell that lists more boxes than CELL_BOXES is cut into four, again and again. A box that covers a cell beats all larger ones there, so these leave the
+cell's list; what stays is only what a position in the cell has to be compared with. The cells
+that are not cut any more do not overlap, so a position has one cell, whatever the gazetteer
+holds: many boxes in one town, boxes inside boxes, boxes of all sizes.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadspan.operators.scaling import (
-    BROADCAST_BYTES,
-    BROADCAST_ROWS,
-    estimated_bytes,
-    materialise,
-)
+from roadspan.operators.scaling import BROADCAST_ROWS, materialise
 
 UNKNOWN = "default"  # fixed value for a position outside all boxes
 PLACE_FIELDS = ["town", "state", "country"]
 
+CELL_BOXES = 16
+# Cells are not cut below 2^-MAX_LEVEL degrees; only boxes that differ by less stay together there.
+MAX_LEVEL = 24
+# A gazetteer of no more boxes than this is cut in the driver, a larger one in tasks.
+LOCAL_BOXES = 20_000
+FARTHEST = 360  # degrees
+TASK_LEVEL = -2  # cells of four degrees, each cut by a task of its own if the gazetteer is large
+TOP_LEVEL = -9  # cells of 512 degrees: four of them hold all positions
 
-def _level(step: float) -> Column:
-    """Grid level at which a box spans at most three cells per axis."""
-    extent = F.greatest(F.col("north") - F.col("south"), F.col("east") - F.col("west"))
-    return F.greatest(F.lit(0), F.ceil(F.log2(extent / step))).cast("int")
+EDGES = ["south", "north", "west", "east"]
+BOX = ["area", *EDGES, *PLACE_FIELDS]
+BOX_DDL = "struct<area: double, south: double, north: double, west: double, east: double, town: string, state: string, country: string>"
+CELL_DDL = f"_level int, _y long, _x long, _boxes array<{BOX_DDL}>"
 
 
-def _cell(value: Column, size: Column | float) -> Column:
-    return F.floor(value / size)
+def cut_cell(level: int, y: int, x: int, boxes: pd.DataFrame, most: int = CELL_BOXES) -> Iterator[tuple]:
+    """(level, y, x, boxes) of the cells below a cell, of 2^-level degrees, that list any box.
 
+    Boxes are listed by area and the further fields, the smallest first.
+    """
+    boxes = boxes.sort_values(BOX, kind="stable", na_position="first").reset_index(drop=True)
+    south, north, west, east = (boxes[c].to_numpy(dtype=float) for c in EDGES)
+    rows = [tuple(None if isinstance(v, float) and np.isnan(v) else v for v in r) for r in boxes[BOX].astype(object).itertuples(index=False)]
+    open_cells = [(level, y, x, np.arange(len(boxes)))]
+    while open_cells:
+        level, y, x, held = open_cells.pop()
+        size = 2.0**-level
+        low, high, left, right = y * size, (y + 1) * size, x * size, (x + 1) * size
+        held = held[(south[held] < high) & (north[held] > low) & (west[held] < right) & (east[held] > left)]
+        covers = np.flatnonzero((south[held] <= low) & (north[held] >= high) & (west[held] <= left) & (east[held] >= right))
+        if len(covers):
+            held = held[: covers[0] + 1]
+        if len(held) > most and level < MAX_LEVEL:
+            open_cells += [(level + 1, 2 * y + i, 2 * x + j, held) for i in (0, 1) for j in (0, 1)]
+        elif len(held):
+            yield level, y, x, [rows[k] for k in held]
 
-def boxes_by_cell(gazetteer: DataFrame, step: float) -> DataFrame:
-    """Boxes listed under every grid cell they touch, smallest area first.
 
-    A large box is listed on a coarser grid, so no box is copied to many cells and
-    no cell lists more than the boxes of its own size that overlap it.
-    """
-    size = F.lit(step) * F.pow(F.lit(2.0), F.col("_level"))
-    box = F.struct(
-        ((F.col("north") - F.col("south")) * (F.col("east") - F.col("west"))).alias("area"),
-        "south", "north", "west", "east", *PLACE_FIELDS,
-    )
+def _boxes(gazetteer: DataFrame) -> DataFrame:
+    """Boxes with an inside, with their area; of boxes with equal edges the first by its fields."""
+    area = (F.col("north") - F.col("south")) * (F.col("east") - F.col("west"))
     return (
-        gazetteer.withColumn("_level", _level(step))
-        .withColumn("_y", F.explode(F.sequence(_cell(F.col("south"), size), _cell(F.col("north"), size))))
-        .withColumn("_x", F.explode(F.sequence(_cell(F.col("west"), size), _cell(F.col("east"), size))))
-        .groupBy("_level", "_y", "_x")
-        .agg(F.sort_array(F.collect_list(box)).alias("_boxes"))
+        gazetteer.filter("south < north and west < east")
+        .groupBy(*EDGES)
+        .agg(F.min(F.struct(*PLACE_FIELDS)).alias("_place"))
+        .select(area.alias("area"), *EDGES, "_place.*")
     )
 
 
+def _roots(low, high):
+    first, last = (
+        F.floor(F.greatest(F.least(F.col(c), F.lit(FARTHEST)), F.lit(-FARTHEST)) * 2.0**TASK_LEVEL) for c in (low, high)
+    )
+    return F.explode(F.sequence(first, last))
+
+
+def cells_in_tasks(boxes: DataFrame, most: int = CELL_BOXES) -> DataFrame:
+    """The quadtree's cells, cells of four degrees cut in tasks of their own."""
+
+    def cut(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        found = [(level, y, x, [dict(zip(BOX, b)) for b in held]) for level, y, x, held in cut_cell(TASK_LEVEL, int(key[0]), int(key[1]), rows, most)]
+        return pd.DataFrame(found, columns=["_level", "_y", "_x", "_boxes"])
+
+    rooted = boxes.withColumn("_ry", _roots("south", "north")).withColumn("_rx", _roots("west", "east"))
+    return rooted.groupBy("_ry", "_rx").applyInPandas(cut, CELL_DDL)
+
+
+def quadtree(gazetteer: DataFrame, most: int = CELL_BOXES) -> tuple[DataFrame, dict[int, int]]:
+    """The cells of the tree, (_level, _y, _x, _boxes), and how many there are of each level.
+
+    One job for a gazetteer of up to LOCAL_BOXES boxes.
+    """
+    spark = gazetteer.sparkSession
+    boxes = _boxes(gazetteer)
+    few = boxes.limit(LOCAL_BOXES + 1).collect()
+    if len(few) <= LOCAL_BOXES:
+        every = pd.DataFrame([tuple(b) for b in few], columns=BOX)
+        cells = [c for y in (-1, 0) for x in (-1, 0) for c in cut_cell(TOP_LEVEL, y, x, every, most)]
+        levels: dict[int, int] = {}
+        for level, *_ in cells:
+            levels[level] = levels.get(level, 0) + 1
+        box = pa.struct([(c, pa.string() if c in PLACE_FIELDS else pa.float64()) for c in BOX])
+        kinds = {"_level": pa.int32(), "_y": pa.int64(), "_x": pa.int64(), "_boxes": pa.list_(box)}
+        columns = zip(*cells) if cells else [[]] * len(kinds)
+        table = {
+            name: pa.array([[dict(zip(BOX, b)) for b in held] for held in column] if name == "_boxes" else column, kind)
+            for (name, kind), column in zip(kinds.items(), columns)
+        }
+        return spark.createDataFrame(pa.table(table)), levels
+    cells = materialise(cells_in_tasks(boxes, most))
+    # One row per level of the tree.
+    return cells, {r["_level"]: r["count"] for r in cells.groupBy("_level").count().collect()}
+
+
 def place_lookup(
     points: DataFrame,
     gazetteer: DataFrame,
     latitude: str = "latitude",
     longitude: str = "longitude",
     prefix: str = "",
-    step: float = 0.05,
+    most: int = CELL_BOXES,
 ) -> DataFrame:
     """Add town, state and country of the smallest box that holds the position.
 
-    One left join per grid level of the gazetteer (a handful); each point stays one
-    row. With a gazetteer of checked small size the points are not shuffled at all;
-    a larger one is joined on the cell, where adaptive execution splits hot cells.
+    Equal areas go by the edges, then the fields. A position outside all boxes, or without a
+    coordinate, gets 'default'. Each point stays one row; there is one left join per level of
+    the tree, and at most one of them meets. Levels with few cells go by broadcast, so that
+    the points are not shuffled; a larger one is joined on the cell, where adaptive execution
+    splits hot cells.
     """
-    cells = boxes_by_cell(gazetteer, step)
-    if estimated_bytes(gazetteer) > BROADCAST_BYTES:
-        cells = materialise(cells)
-    # One row per level, and one level per doubling of the box size: a short list.
-    sizes = {r["_level"]: r["count"] for r in cells.groupBy("_level").count().collect()}
+    cells, levels = quadtree(gazetteer, most)
     lat, lon = F.col(latitude), F.col(longitude)
     found = []
-    for level in sorted(sizes):
-        size = step * 2.0**level
+    for level in sorted(levels):
+        scale = 2.0**level
         side = cells.filter(F.col("_level") == level).select(
             F.col("_y").alias(f"_y{level}"),
             F.col("_x").alias(f"_x{level}"),
             F.col("_boxes").alias(f"_boxes{level}"),
         )
-        if sizes[level] <= BROADCAST_ROWS:
+        if levels[level] * most <= BROADCAST_ROWS:
             side = F.broadcast(side)
         points = (
-            points.withColumn(f"_y{level}", _cell(lat, size))
-            .withColumn(f"_x{level}", _cell(lon, size))
+            points.withColumn(f"_y{level}", F.floor(lat * scale))
+            .withColumn(f"_x{level}", F.floor(lon * scale))
             .join(side, [f"_y{level}", f"_x{level}"], "left")
         )
-        holds = F.filter(
-            f"_boxes{level}",
-            lambda b: (lat >= b.south) & (lat < b.north) & (lon >= b.west) & (lon < b.east),
-        )
-        found.append((level, F.get(holds, 0)))
+        found.append(level)
     if not found:
         return points.withColumns({prefix + f: F.lit(UNKNOWN) for f in PLACE_FIELDS})
-    points = points.withColumns({f"_hit{level}": hit for level, hit in found})
-    # Boxes compare by their first field, the area; NULL hits are skipped.
-    best = F.array_min(F.array(*[F.col(f"_hit{level}") for level, _ in found]))
-    points = points.withColumn("_best", best).withColumns(
+    points = points.withColumn("_near", F.coalesce(*[F.col(f"_boxes{level}") for level in found]))
+    holds = F.filter(
+        "_near", lambda b: (lat >= b.south) & (lat < b.north) & (lon >= b.west) & (lon < b.east)
+    )
+    points = points.withColumn("_best", F.get(holds, 0)).withColumns(
         {prefix + f: F.coalesce(F.col(f"_best.{f}"), F.lit(UNKNOWN)) for f in PLACE_FIELDS}
     )
-    helper = [c for level, _ in found for c in (f"_y{level}", f"_x{level}", f"_boxes{level}", f"_hit{level}")]
-    return points.drop("_best", *helper)
+    helper = [c for level in found for c in (f"_y{level}", f"_x{level}", f"_boxes{level}")]
+    return points.drop("_best", "_near", *helper)

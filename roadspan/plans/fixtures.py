@@ -95,7 +95,8 @@ SELECT CAST(n_nationkey AS INT) AS wilaya_id, n_name AS wilaya_designation FROM
     "commune": """
 SELECT CAST(r_regionkey AS INT) AS commune_id, r_name AS commune_designation FROM {region}""",
     "users": "SELECT CAST(c_custkey AS INT) AS id, c_name AS name FROM {customer}",
-    # All nations, no two boxes overlap: four columns of small boxes, one of widths that double.
+    # A box per nation, four columns of small ones and one of widths that double; across them a
+    # wide band per region, which overlap each other.
     "gazetteer": """
 SELECT south, south + CAST(0.012 AS DOUBLE) + CAST(r AS DOUBLE) * CAST(0.002 AS DOUBLE) AS north,
        west, west + CASE WHEN n < 20 THEN CAST(1 + n % 4 AS DOUBLE) * CAST(0.003 AS DOUBLE)
@@ -104,7 +105,14 @@ SELECT south, south + CAST(0.012 AS DOUBLE) + CAST(r AS DOUBLE) * CAST(0.002 AS
 FROM (SELECT n_nationkey AS n, n_nationkey % 5 AS r, n_name AS state,
              CAST(36.5 AS DOUBLE) + CAST(n_nationkey % 5 AS DOUBLE) * CAST(0.022 AS DOUBLE) AS south,
              CAST(3.0 AS DOUBLE) + CAST(n_nationkey - n_nationkey % 5 AS DOUBLE) * CAST(0.0028 AS DOUBLE) AS west
-      FROM {nation}) AS nations""",
+      FROM {nation}) AS nations
+UNION ALL
+SELECT south, south + CAST(0.04 AS DOUBLE) + CAST(r AS DOUBLE) * CAST(0.01 AS DOUBLE) AS north,
+       CAST(2.5 AS DOUBLE) AS west, CAST(3.3 AS DOUBLE) AS east,
+       concat('B', CAST(r AS STRING)) AS town, state, 'band' AS country
+FROM (SELECT r_regionkey AS r, r_name AS state,
+             CAST(36.51 AS DOUBLE) + CAST(r_regionkey AS DOUBLE) * CAST(0.015 AS DOUBLE) AS south
+      FROM {region}) AS regions""",
     "maintenance": """
 SELECT CAST(c_custkey AS INT) AS id, CAST(c_custkey AS INT) AS thing_id,
        concat('car', CAST(c_custkey AS STRING)) AS name,

@@ -261,7 +261,7 @@ def _years(i: Inputs) -> DataFrame:
     JOIN alert_degre d ON f.type_id = d.alert_degre_id GROUP BY type_id""",
 )
 def _alerts_by_type(i: Inputs) -> DataFrame:
-    fact = alert_fact(i.alert, i.alert_thing, i.alert_event, i.alert_point, i.point)
+    fact = alert_fact(i.alert, i.alert_thing, i.alert_event, i.alert_point, i.point, i.alert_degre)
     return serving.alerts_by_type(fact, alert_degree_dim(i.alert_degre))
 
 

@@ -32,7 +32,7 @@ def live_rows(i: Inputs) -> DataFrame:
 def alert_history(i: Inputs) -> DataFrame:
     before = i.alert.filter(F.col("alert_day") < F.lit(AS_OF))
     return facts.alert_fact_dated(
-        before, i.alert_thing, i.alert_event, i.alert_point, i.point, warehouse.date_dim(i)
+        before, i.alert_thing, i.alert_event, i.alert_point, i.point, i.alert_degre, warehouse.date_dim(i)
     )
 
 

@@ -96,7 +96,7 @@ SELECT *, CASE WHEN traveled_distance > 100 THEN 9 + draw * 3 ELSE 3 + draw * 4
 SELECT t.thing_id, a.alert_degre_id, e.event_id, p.point_id, a.alert_day
 FROM alert a JOIN alert_thing t ON a.alert_id = t.alert_id
 JOIN alert_event e ON a.alert_id = e.alert_id JOIN alert_point p ON a.alert_id = p.alert_id
-JOIN point q ON p.point_id = q.point_id""",
+JOIN point q ON p.point_id = q.point_id JOIN alert_degre g ON a.alert_degre_id = g.alert_degre_id""",
     "alert_fact_dated": """
 SELECT point_id AS location_id, date_id, alert_degre_id AS type_id, thing_id AS user_id, event_id,
   COUNT(*) AS alert_count, thing_id
@@ -173,7 +173,9 @@ WINDOW w AS (PARTITION BY thing_id ORDER BY trace_date, trace_id ROWS BETWEEN 30
 SELECT a.*, coalesce(g.town, 'default') AS town, coalesce(g.state, 'default') AS state,
   coalesce(g.country, 'default') AS country
 FROM alert_src a LEFT JOIN gazetteer g ON a.latitude >= g.south AND a.latitude < g.north
-  AND a.longitude >= g.west AND a.longitude < g.east""",
+  AND a.longitude >= g.west AND a.longitude < g.east
+QUALIFY row_number() OVER (PARTITION BY a.alert_id
+  ORDER BY (g.north - g.south) * (g.east - g.west), g.south, g.north, g.west, g.east, g.town) = 1""",
     "counted_alerts": """
 SELECT *, alert_degre_id AS type_id, thing_id AS user_id, row_number() OVER (
   PARTITION BY alert_degre_id, event_id, thing_id ORDER BY alert_time, alert_id) AS alert_number
@@ -204,8 +206,9 @@ def greedy(points: str, keep: str) -> str:
 def place_name(lat: str, lon: str) -> str:
     box = f"g.south <= {lat} AND {lat} < g.north AND g.west <= {lon} AND {lon} < g.east"
     return (
-        f"coalesce((SELECT concat(g.town, ', ', g.state, ', ', g.country) FROM gazetteer g "
-        f"WHERE {box}), 'default, default, default')"
+        f"coalesce((SELECT first(concat(g.town, ', ', g.state, ', ', g.country) "
+        f"ORDER BY (g.north - g.south) * (g.east - g.west), g.south, g.north, g.west, g.east, g.town) "
+        f"FROM gazetteer g WHERE {box}), 'default, default, default')"
     )
 
 

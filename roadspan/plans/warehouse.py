@@ -32,7 +32,7 @@ def vehicle_daily(i: Inputs, **options) -> DataFrame:
 
 def alert_fact_dated(i: Inputs) -> DataFrame:
     return facts.alert_fact_dated(
-        i.alert, i.alert_thing, i.alert_event, i.alert_point, i.point, date_dim(i)
+        i.alert, i.alert_thing, i.alert_event, i.alert_point, i.point, i.alert_degre, date_dim(i)
     )
 
 
@@ -209,7 +209,7 @@ def _vehicle_daily_incremental(i: Inputs) -> DataFrame:
     point_id""",
 )
 def _alert_fact(i: Inputs) -> DataFrame:
-    return facts.alert_fact(i.alert, i.alert_thing, i.alert_event, i.alert_point, i.point)
+    return facts.alert_fact(i.alert, i.alert_thing, i.alert_event, i.alert_point, i.point, i.alert_degre)
 
 
 @query(

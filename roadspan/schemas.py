@@ -1,6 +1,9 @@
 """Declared schemas: warehouse tables, live tables and stream messages.
 
-The column lists are fixed values: they are the tables a user already has.
+The column lists are fixed values, in the order in which the tables a user already has declare
+them. Where a table here holds more (further keys, coordinates, the blend of a state), these
+columns come last. Live numbers that were declared as whole ones are doubles and live times
+timestamps, so that nothing is cut off.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ WAREHOUSE = {
         "date_id INT, full_date DATE, year INT, month INT, day INT, month_year STRING, "
         "month_name STRING, quarter STRING, day_type STRING, season STRING"
     ),
-    "location_dim": "location_id INT, province STRING, municipality STRING",
+    "location_dim": "location_id INT, municipality STRING, province STRING",
     "thing_dim": (
         "thing_id INT, thing_designation STRING, thing_matricule STRING, "
         "thing_serial_number STRING, entreprise_id INT, group_id INT, group_name STRING, "
@@ -42,22 +45,21 @@ WAREHOUSE = {
 
 LIVE = {
     "trace": (
-        "trace_id STRING, thing_id STRING, trace_date TIMESTAMP, engine_status STRING, "
-        "long DOUBLE, lat DOUBLE, oil_value DOUBLE, fuel_liters DOUBLE, fuel_percent DOUBLE, "
-        "km_after_last_maintance DOUBLE, battery DOUBLE, speed INT"
+        "trace_id STRING, thing_id STRING, trace_date TIMESTAMP, long DOUBLE, lat DOUBLE, speed INT, "
+        "engine_status STRING, oil_value DOUBLE, fuel_liters DOUBLE, fuel_percent DOUBLE, "
+        "km_after_last_maintance DOUBLE, battery DOUBLE"
     ),
     "vehicle_performance": (
-        "thing_id INT, thing_name STRING, idle_time DOUBLE, active_time DOUBLE, "
-        "traveled_distance DOUBLE, km_after_last_maintenance DOUBLE, avg_speed DOUBLE, "
-        "max_speed DOUBLE, fuel DOUBLE, latitude DOUBLE, longitude DOUBLE, "
-        "trace_date TIMESTAMP, full_date DATE, year INT, month INT, day INT, "
-        "month_year STRING, month_name STRING, quarter INT, day_type STRING, season STRING, "
-        "type_id INT, group_id INT, maintenance INT, rul FLOAT"
+        "idle_time DOUBLE, active_time DOUBLE, traveled_distance DOUBLE, avg_speed DOUBLE, "
+        "max_speed DOUBLE, full_date DATE, year INT, month INT, day INT, month_year STRING, "
+        "month_name STRING, quarter INT, day_type STRING, season STRING, thing_id INT, type_id INT, "
+        "group_id INT, latitude DOUBLE, longitude DOUBLE, trace_date TIMESTAMP, maintenance INT, "
+        "rul FLOAT, fuel DOUBLE, thing_name STRING, km_after_last_maintenance DOUBLE"
     ),
     "alert": (
-        "alert_id INT, type_id INT, event_id INT, user_id INT, alert_number BIGINT, "
-        "province STRING, municipality STRING, full_date DATE, year INT, month INT, day INT, "
-        "month_year STRING, month_name STRING, quarter INT, day_type STRING, season STRING"
+        "alert_id INT, type_id INT, event_id INT, user_id INT, province STRING, municipality STRING, "
+        "alert_number BIGINT, full_date DATE, year INT, month INT, day INT, month_year STRING, "
+        "month_name STRING, quarter INT, day_type STRING, season STRING"
     ),
 }
 
