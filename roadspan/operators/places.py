@@ -21,7 +21,7 @@ from roadspan.operators.scaling import BROADCAST_ROWS, materialise
 UNKNOWN = "default"  # fixed value for a position outside all boxes
 PLACE_FIELDS = ["town", "state", "country"]
 
-CELL_BOXES = 16
+CELL_BOXES = 32
 # Cells are not cut below 2^-MAX_LEVEL degrees; only boxes that differ by less stay together there.
 MAX_LEVEL = 24
 # A gazetteer of no more boxes than this is cut in the driver, a larger one in tasks.
@@ -39,9 +39,10 @@ CELL_DDL = f"_level int, _y long, _x long, _boxes array<{BOX_DDL}>"
 def cut_cell(level: int, y: int, x: int, boxes: pd.DataFrame, most: int = CELL_BOXES) -> Iterator[tuple]:
     """(level, y, x, boxes) of the cells below a cell, of 2^-level degrees, that list any box.
 
-    Boxes are listed by area and the further fields, the smallest first.
+    Boxes are listed by area and the further fields, the smallest first; of boxes with equal
+    edges only the first counts.
     """
-    boxes = boxes.sort_values(BOX, kind="stable", na_position="first").reset_index(drop=True)
+    boxes = boxes.sort_values(BOX, kind="stable", na_position="first").drop_duplicates(EDGES).reset_index(drop=True)
     south, north, west, east = (boxes[c].to_numpy(dtype=float) for c in EDGES)
     rows = [tuple(None if isinstance(v, float) and np.isnan(v) else v for v in r) for r in boxes[BOX].astype(object).itertuples(index=False)]
     open_cells = [(level, y, x, np.arange(len(boxes)))]
@@ -60,14 +61,9 @@ def cut_cell(level: int, y: int, x: int, boxes: pd.DataFrame, most: int = CELL_B
 
 
 def _boxes(gazetteer: DataFrame) -> DataFrame:
-    """Boxes with an inside, with their area; of boxes with equal edges the first by its fields."""
+    """Boxes with an inside, with their area."""
     area = (F.col("north") - F.col("south")) * (F.col("east") - F.col("west"))
-    return (
-        gazetteer.filter("south < north and west < east")
-        .groupBy(*EDGES)
-        .agg(F.min(F.struct(*PLACE_FIELDS)).alias("_place"))
-        .select(area.alias("area"), *EDGES, "_place.*")
-    )
+    return gazetteer.filter("south < north and west < east").select(area.alias("area"), *EDGES, *PLACE_FIELDS)
 
 
 def _roots(low, high):
@@ -84,6 +80,8 @@ def cells_in_tasks(boxes: DataFrame, most: int = CELL_BOXES) -> DataFrame:
         found = [(level, y, x, [dict(zip(BOX, b)) for b in held]) for level, y, x, held in cut_cell(TASK_LEVEL, int(key[0]), int(key[1]), rows, most)]
         return pd.DataFrame(found, columns=["_level", "_y", "_x", "_boxes"])
 
+    place = F.min(F.struct(*PLACE_FIELDS)).alias("_place")
+    boxes = boxes.groupBy("area", *EDGES).agg(place).select("area", *EDGES, "_place.*")
     rooted = boxes.withColumn("_ry", _roots("south", "north")).withColumn("_rx", _roots("west", "east"))
     return rooted.groupBy("_ry", "_rx").applyInPandas(cut, CELL_DDL)
 

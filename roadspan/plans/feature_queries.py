@@ -166,9 +166,55 @@ def _sequences(i: Inputs) -> DataFrame:
     return features.sliding_sequences(i.rul_src)
 
 
-@query("ar5_forecast")
+def _least_squares(lags: list[str], columns: str) -> str:
+    """Least squares of ``target`` on the lags over the train rows of q, as one chain of tables.
+
+    Each lag loses what the earlier ones and a constant explain of it; on what is left, the
+    slopes of the target are those of single regressions.
+    """
+    steps = "o0 AS (SELECT * FROM q)"
+    for n, lag in enumerate(lags, 1):
+        before = [f"e{k}" for k in range(1, n)]
+        slopes = ", ".join([f"regr_slope({lag}, {e}) AS b{e}" for e in before] + [f"AVG({lag}) AS m"])
+        less = "".join(f" - b{e} * {e}" for e in before)
+        steps += f""", c{n} AS (SELECT {slopes} FROM o{n - 1} WHERE split = 'train'),
+    o{n} AS (SELECT o{n - 1}.*, {lag} - m{less} AS e{n} FROM o{n - 1}, c{n})"""
+    n = len(lags)
+    slopes = ", ".join(f"coalesce(regr_slope(target, e{k}), 0) AS t{k}" for k in range(1, n + 1))
+    value = " + ".join(["m", *[f"t{k} * e{k}" for k in range(1, n + 1)]])
+    return f"""{steps}, y AS (SELECT AVG(target) AS m, {slopes} FROM o{n} WHERE split = 'train'),
+    forecast AS (SELECT {columns}, {value} AS prediction FROM o{n}, y WHERE split = 'test')"""
+
+
+SEQUENCES_SQL = f"""q AS (SELECT *, {SPLIT_SQL} FROM (
+    SELECT thing_id, date_insertion, trace_id, lag(speed, 5) OVER w AS s1, lag(speed, 4) OVER w AS s2,
+      lag(speed, 3) OVER w AS s3, lag(speed, 2) OVER w AS s4, lag(speed, 1) OVER w AS s5,
+      speed AS target, row_number() OVER w AS rn FROM rul_src
+    WINDOW w AS (PARTITION BY thing_id ORDER BY date_insertion, trace_id)) WHERE rn >= 6
+    AND s1 + s2 + s3 + s4 + s5 + target IS NOT NULL),
+    {_least_squares(["s1", "s2", "s3", "s4", "s5"], "thing_id, date_insertion, trace_id, target")}"""
+
+
+@query(
+    "ar5_forecast",
+    f"""WITH {SEQUENCES_SQL} SELECT thing_id, date_insertion, trace_id, target,
+    ROUND(prediction, 4) AS prediction FROM forecast""",
+)
 def _forecast(i: Inputs) -> DataFrame:
-    return models.ar5_forecast(features.sliding_sequences(i.rul_src))[0]
+    predicted, _ = models.ar5_forecast(features.sliding_sequences(i.rul_src))
+    return predicted.select(
+        "thing_id", "date_insertion", "trace_id", "target", F.round("prediction", 4).alias("prediction")
+    )
+
+
+@query(
+    "ar5_forecast_error",
+    f"""WITH {SEQUENCES_SQL} SELECT COUNT(*) AS n_test, ROUND(AVG(pow(target - prediction, 2)), 4) AS mse
+    FROM forecast""",
+)
+def _forecast_error(i: Inputs) -> DataFrame:
+    _, error = models.ar5_forecast(features.sliding_sequences(i.rul_src))
+    return error.select("n_test", F.round("mse", 4).alias("mse"))
 
 
 @query(
@@ -179,9 +225,29 @@ def _label(i: Inputs) -> DataFrame:
     return features.speeding_label(i.rul_src).select("trace_id", "speed", "speeding")
 
 
-@query("speeding_classifier")
+# The label is a function of the speed alone and speeds are whole, so a fit that is good for
+# anything gives every test row its label.
+@query(
+    "speeding_classifier",
+    f"""SELECT thing_id, date_insertion, trace_id, speed, CASE WHEN speed > 70 THEN 1 ELSE 0 END AS label,
+    CASE WHEN speed > 70 THEN 1 ELSE 0 END AS prediction, true AS sure
+    FROM (SELECT *, {SPLIT_SQL} FROM rul_src) WHERE split = 'test' AND speed IS NOT NULL""",
+)
 def _classifier(i: Inputs) -> DataFrame:
-    return models.speeding_classifier(i.rul_src)
+    scored = models.speeding_classifier(i.rul_src)
+    sure = (F.col("probability") > 0.5) == (F.col("prediction") == 1)
+    return scored.select("thing_id", *features.ORDER, "speed", "label", "prediction", sure.alias("sure"))
+
+
+@query(
+    "speeding_classifier_metrics",
+    f"""SELECT COUNT(*) FILTER (speed <= 70) AS tn, CAST(0 AS BIGINT) AS fp, CAST(0 AS BIGINT) AS fn,
+    COUNT(*) FILTER (speed > 70) AS tp, CAST(1 AS DOUBLE) AS accuracy, CAST(1 AS DOUBLE) AS "precision",
+    CAST(1 AS DOUBLE) AS recall FROM (SELECT *, {SPLIT_SQL} FROM rul_src) WHERE split = 'test'
+    AND speed IS NOT NULL""",
+)
+def _classifier_metrics(i: Inputs) -> DataFrame:
+    return features.classification_metrics(models.speeding_classifier(i.rul_src))
 
 
 @query(
@@ -203,10 +269,27 @@ def _metrics(i: Inputs) -> DataFrame:
     return rounded(features.classification_metrics(labelled), "accuracy", "precision", "recall")
 
 
-@query("rul_train_score")
+# A forest's score is a mean of labels, so it lies between the least and the largest; and a fit
+# that has learned anything errs less than the mean of all labels does, whose squared error is
+# the variance. Both bounds come from SQL alone.
+@query(
+    "rul_train_score",
+    """SELECT thing_id, trace_date, trace_id, CAST(n - k AS DOUBLE) AS label, true AS within_labels,
+    true AS beats_mean FROM (SELECT thing_id, trace_date, trace_id, COUNT(*) OVER (PARTITION BY thing_id) AS n,
+    row_number() OVER (PARTITION BY thing_id ORDER BY trace_date, trace_id) AS k FROM trace_src)""",
+)
 def _rul(i: Inputs) -> DataFrame:
     rows = materialise(models.rul_features(i.trace_src))
-    return models.rul_score(models.rul_train(rows), rows)
+    scored = materialise(models.rul_score(models.rul_train(rows), rows).select("thing_id", "trace_date", "trace_id", "label", "rul"))
+    bounds = scored.agg(
+        F.min("label").alias("least"),
+        F.max("label").alias("most"),
+        (F.avg(F.pow(F.col("label") - F.col("rul"), F.lit(2.0))) < F.var_pop("label")).alias("beats_mean"),
+    )
+    # One row of three numbers.
+    return scored.join(F.broadcast(bounds)).select(
+        "thing_id", "trace_date", "trace_id", "label", F.col("rul").between(F.col("least"), F.col("most")).alias("within_labels"), "beats_mean"
+    )
 
 
 @query(

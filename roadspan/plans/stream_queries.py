@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadspan import schemas
-from roadspan.operators import live, models
-from roadspan.operators.loading import latest_by_key
+from roadspan.operators import models
 from roadspan.operators.scaling import materialise, shared_folder
 from roadspan.plans.fixtures import AS_OF, VIEWS, Inputs
 from roadspan.plans.oracle import r6
@@ -155,10 +154,21 @@ def live_alert_days(i: Inputs) -> DataFrame:
     return table.read(i.spark, schemas.live_schema("alert"))
 
 
-@query("rul_score_stream")
+@query(
+    "rul_score_stream",
+    """SELECT thing_id, trace_date, CAST(trace_date AS DATE) AS full_date, true AS within_labels FROM live_state""",
+)
 def _score(i: Inputs) -> DataFrame:
-    """The newest row of each vehicle, scored by a model fitted on all rows."""
+    """The live row of each vehicle as the state job writes it, scored by a model fitted on all
+    rows; a score lies between the least and the largest label, which a first reading has."""
     rows = materialise(models.rul_features(i.trace_src))
     model = models.rul_train(rows)
-    newest = latest_by_key(rows, ["thing_id"], live.EVENT_ORDER)
-    return models.rul_score(model, newest).select("thing_id", *live.EVENT_ORDER, "rul")
+    folder = run_folder(i, "scored-state")
+    table = KeyedTable(f"{folder}/table", ["thing_id"], ["trace_date"])
+    messages = position_messages(streamed(i, "trace_src"))
+    jobs.vehicle_state_job(messages, table, f"{folder}/checkpoint", model, every=None).awaitTermination()
+    most = rows.agg(F.max("label").alias("most"))
+    live_rows = table.read(i.spark, schemas.live_schema("vehicle_performance"))
+    return live_rows.join(F.broadcast(most)).select(
+        "thing_id", "trace_date", "full_date", F.col("rul").between(F.lit(0), F.col("most")).alias("within_labels")
+    )
