@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import sys
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +25,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 16
 ORDERS = (2, 3, 4)
-# Documented bounds of the fit: documents drawn per language, words taken of each.
+# Documented bounds of the fit: languages (the most frequent ones), documents drawn per language,
+# pieces of PIECE words drawn from the whole of each document, characters of a piece.
+LANGUAGES = 256
 DOCS_PER_LANG = 400
-WORDS_PER_DOC = 64
+PIECES_PER_DOC = 8
 PIECE = 8
+PIECE_CHARS = 1_024
 LENGTH = 32
 EPOCHS = 6
 RATE = 0.3
@@ -119,16 +123,23 @@ class Model:
         return np.add.reduceat(self.weights[found], starts, axis=0)
 
 
+def pieces_of(text: str | None, key: object) -> list[tuple[int, str]]:
+    """(number, words) of up to PIECES_PER_DOC pieces, drawn by ``key`` from the whole text."""
+    words = words_of(text)
+    n = -(-len(words) // PIECE)
+    taken = np.arange(n)
+    if n > PIECES_PER_DOC:
+        taken = np.sort(np.random.default_rng(zlib.crc32(str(key).encode())).choice(n, PIECES_PER_DOC, replace=False))
+    cut = [(int(k), " ".join(words[k * PIECE : (k + 1) * PIECE])) for k in taken]
+    return [(k, piece) for k, piece in cut if len(piece) <= PIECE_CHARS]
+
+
 def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
-    """Fit on pieces of the texts, shuffled and joined so that languages switch."""
+    """Fit on pieces of one language each, shuffled and joined so that languages switch."""
     langs = sorted(set(labels))
     rng = np.random.default_rng(seed)
-    pieces = []
-    for text, label in zip(texts, labels):
-        words = words_of(text)
-        begin = int(rng.integers(0, max(1, len(words) - WORDS_PER_DOC + 1)))
-        for k in range(begin, min(begin + WORDS_PER_DOC, len(words)), PIECE):
-            pieces.append((words[k : k + PIECE], langs.index(label)))
+    numbers = {lang: y for y, lang in enumerate(langs)}
+    pieces = [(text.split(" "), numbers[label]) for text, label in zip(texts, labels)]
     k = len(langs)
     weights = np.zeros((1 << BITS, k))
     trans, start = np.zeros((k, k)), np.zeros(k)
@@ -169,25 +180,43 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Learn from rows with a language whose remainder is not 2; None where there are none.
+    """Learn from rows with a language whose remainder is not 2; None where no word is found.
 
-    About DOCS_PER_LANG texts of each language are drawn by a hash of the id; these bounded
-    rows are fitted in one place.
+    About DOCS_PER_LANG texts of each of the LANGUAGES most frequent languages (ties: by name)
+    are drawn by a hash of the id. Tasks draw at most PIECES_PER_DOC pieces of PIECE words from
+    the whole of each; only these pieces, of at most PIECE_CHARS characters, reach the driver,
+    where they are fitted. Rows without an id, a language or a text are not learned from.
+    Repeated rows are drawn together.
     """
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_remainder("id", 4) != 2)
     )
-    share = F.lit(0)
-    for lang, n in sorted((r["lang"], r["count"]) for r in known.groupBy("lang").count().collect()):
-        share = F.when(F.col("lang") == lang, int(min(1.0, DOCS_PER_LANG / n) * (1 << 20))).otherwise(share)
-    drawn = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share)
-    taken = drawn.toPandas().sort_values("id")
-    return train(taken["text"].tolist(), taken["lang"].tolist()) if len(taken) else None
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    share = F.least(F.lit(1.0), DOCS_PER_LANG / F.col("count")) * (1 << 20)
+    shares = counts.select("lang", share.cast("long").alias("share"))
+    # At most LANGUAGES rows are broadcast.
+    drawn = known.join(F.broadcast(shares), "lang").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.col("share"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            found = [
+                (i, k, lang, piece)
+                for i, text, lang in zip(rows["id"], rows["text"], rows["lang"])
+                for k, piece in pieces_of(text, i)
+            ]
+            yield pd.DataFrame(found, columns=["id", "k", "lang", "piece"])
+
+    kind = drawn.schema["id"].dataType.simpleString()
+    pieces = drawn.select("id", "text", "lang").mapInPandas(cut, f"id {kind}, k int, lang string, piece string")
+    taken = pieces.toPandas().sort_values(["id", "k", "piece"])
+    return train(taken["piece"].tolist(), taken["lang"].tolist()) if len(taken) else None
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score, switches) per row; ``und``, 0 and 0 without a letter or a model.
 
+    Rows without an id and repeated rows are labelled like any other, one result each.
+
     ``score`` is the mean probability of the language over the words, ``switches`` the number
     of places where the likeliest label changes from one word to the next.
     """

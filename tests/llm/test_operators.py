@@ -401,6 +401,27 @@ def test_language(docs, odd, empty):
     assert crf.predict(empty, model).count() == 0
 
 
+def test_language_pieces_come_from_whole_texts(spark):
+    word = lambda k: "".join(chr(97 + int(d)) for d in str(k))
+    text = " ".join(word(k) for k in range(80_000))
+    numbers = [k for i in range(20) for k, _ in crf.pieces_of(text, i)]
+    assert len(numbers) == 20 * crf.PIECES_PER_DOC and min(numbers) < 1_500 and max(numbers) > 8_500
+    assert [p for _, p in crf.pieces_of("one two three", 1)] == ["one two three"]
+    assert crf.pieces_of("x" * 2_000_000, 1) == [] and crf.pieces_of(None, 1) == []
+    # Its language shows only behind a long start that is the same in both.
+    rows = [(i, "same words here " * 200 + ("alpha beta gamma " if i % 2 else "uno dos tres ") * 400, "xy"[i % 2]) for i in range(80)]
+    model = crf.fit(spark.createDataFrame([*rows, (90, None, "x"), (None, "alpha", "x"), (91, "12", None)], "doc_id long, text string, lang string"))
+    asked = spark.createDataFrame([(1, "alpha gamma beta"), (2, "tres uno"), (None, "dos")], "doc_id long, text string")
+    assert [r.lang_pred for r in crf.predict(asked, model).orderBy(F.col("id").asc_nulls_last()).collect()] == ["y", "x", "x"]
+
+
+def test_language_of_a_dirty_column_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(crf, "LANGUAGES", 2)
+    rows = [(i, "uno dos tres", "es") for i in range(20)] + [(20 + i, "alpha beta", "la") for i in range(20)]
+    rows += [(100 + i, "noise", f"bad{i}") for i in range(50)]
+    assert crf.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string")).langs == ["es", "la"]
+
+
 def test_flow_moves_the_fewest_bytes():
     rng = random.Random(3)
     for _ in range(200):
