@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadspan.functions.scalars import with_date_attributes
-from roadspan.operators.loading import incremental_filter, surrogate_key
+from roadspan.operators.loading import conform_to_schema, incremental_filter, surrogate_key
+from roadspan.schemas import warehouse_schema
+
+# Names of the source and of the warehouse.
+THING_NAMES = {
+    "thing_matricule": "thing_plate",
+    "thing_serial_number": "thing_serial",
+    "entreprise_id": "company_id",
+    "thing_group_id": "group_id",
+    "thing_type_id": "type_id",
+    "thing_marque_id": "thing_mark",
+    "thing_group_designation": "group_name",
+}
+DEGREE_NAMES = {"alert_degre_id": "alert_degree_id", "alert_degre_name": "alert_degree"}
+USER_NAMES = {"id": "user_id", "name": "user_name"}
 
 DATE_COLUMNS = [
     "date_id", "full_date", "year", "month", "day",
@@ -19,25 +33,12 @@ DATE_COLUMNS = [
 def thing_dim(
     thing: DataFrame, thing_type: DataFrame, thing_group: DataFrame, after_id: int | None = None
 ) -> DataFrame:
-    """Vehicles with their type and group names; only ids above ``after_id`` when given."""
+    """Vehicles with their type and group names, under the warehouse's names; only ids above
+    ``after_id`` when given. A company's name is NULL where the source has none."""
     if after_id is not None:
         thing = incremental_filter(thing, "thing_id", after_id)
-    return (
-        thing.join(thing_type, "thing_type_id")
-        .join(thing_group, "thing_group_id")
-        .select(
-            "thing_id",
-            "thing_designation",
-            "thing_matricule",
-            "thing_serial_number",
-            "entreprise_id",
-            F.col("thing_group_id").alias("group_id"),
-            F.col("thing_group_designation").alias("group_name"),
-            F.col("thing_type_id").alias("type_id"),
-            F.col("thing_type_designation").alias("type_name"),
-            F.col("thing_marque_id").alias("marque_id"),
-        )
-    )
+    named = thing.join(thing_type, "thing_type_id").join(thing_group, "thing_group_id")
+    return conform_to_schema(named, warehouse_schema("thing_dim"), THING_NAMES)
 
 
 def date_dim(
@@ -58,7 +59,7 @@ def date_dim(
 
 
 def alert_degree_dim(codes: DataFrame) -> DataFrame:
-    return codes.select("alert_degre_id", "alert_degre_name")
+    return conform_to_schema(codes, warehouse_schema("alert_deg_dim"), DEGREE_NAMES)
 
 
 def event_dim(codes: DataFrame) -> DataFrame:
@@ -66,7 +67,8 @@ def event_dim(codes: DataFrame) -> DataFrame:
 
 
 def user_dim(users: DataFrame) -> DataFrame:
-    return users.select(F.col("id").alias("user_id"), F.col("name").alias("user_name"))
+    """Users; the company columns are NULL where the source has none."""
+    return conform_to_schema(users, warehouse_schema("user_dim"), USER_NAMES)
 
 
 def location_dim(

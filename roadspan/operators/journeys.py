@@ -297,7 +297,9 @@ def journey(measures: DataFrame, speeds: DataFrame) -> DataFrame:
 
 
 def delete_empty_paths(dim: DataFrame) -> DataFrame:
-    return dim.filter(F.col("path") != "")
+    """The journeys with a point in any part of their path, with all their parts."""
+    left = dim.groupBy("journey_id").agg(F.max(F.col("path") != "").alias("_any")).filter("_any")
+    return dim.join(left.select("journey_id"), "journey_id", "left_semi")
 
 
 def delete_orphan_journeys(fact: DataFrame, dim: DataFrame) -> DataFrame:

@@ -9,14 +9,24 @@ from pyspark.sql import functions as F
 
 from roadspan.operators.kpi import of_vehicles
 from roadspan.operators.loading import latest_by_key, top_per_key
-from roadspan.operators.scaling import materialise
+from roadspan.operators.scaling import dense_ids, materialise
 
 LIVE_ORDER = ["trace_date", "trace_id"]
+# Up to this place a page is the end of a short sorted list; later ones are found by number.
+NEAR_ROWS = 10_000
 
 
 def page(df: DataFrame, order: list[Column], number: int, size: int, stride: int) -> DataFrame:
-    """Page ``number`` (from 1) of a totally ordered frame."""
-    return df.orderBy(*order).offset((number - 1) * stride).limit(size)
+    """Page ``number`` (from 1) of a totally ordered frame.
+
+    Rows far down are numbered by a range-partitioned sort, so however deep a page lies, no
+    task and not the driver gathers the rows before it.
+    """
+    first = (number - 1) * stride
+    if first + size <= NEAR_ROWS:
+        return df.orderBy(*order).offset(first).limit(size)
+    numbered = dense_ids(df, "_number", order)
+    return numbered.filter(F.col("_number").between(first + 1, first + size)).orderBy("_number").drop("_number")
 
 
 def _only(df: DataFrame, thing_id: int | None) -> DataFrame:
@@ -43,7 +53,7 @@ def thing_search(thing_dim: DataFrame, term: str) -> DataFrame:
 
 
 def thing_types(thing_dim: DataFrame) -> DataFrame:
-    return thing_dim.select("type_id", "type_name").distinct()
+    return thing_dim.select("type_id", F.col("thing_type_designation").alias("type_name")).distinct()
 
 
 def thing_groups(thing_dim: DataFrame, limit: int = 10) -> DataFrame:
@@ -52,7 +62,7 @@ def thing_groups(thing_dim: DataFrame, limit: int = 10) -> DataFrame:
 
 def things_brief(thing_dim: DataFrame) -> DataFrame:
     return thing_dim.select(
-        F.col("thing_designation").alias("name"), "thing_id", F.col("thing_matricule").alias("plate")
+        F.col("thing_designation").alias("name"), "thing_id", F.col("thing_plate").alias("plate")
     )
 
 
@@ -95,12 +105,13 @@ def fuel_total(
 def alerts_by_type(alert_fact: DataFrame, alert_degree_dim: DataFrame) -> DataFrame:
     """Number of fact rows with a count, per alert type of the code table."""
     counted = alert_fact.groupBy("type_id").agg(F.count("alert_count").alias("alert_count"))
-    codes = alert_degree_dim.select(F.col("alert_degre_id").alias("type_id"))
+    codes = alert_degree_dim.select(F.col("alert_degree_id").alias("type_id"))
     return counted.join(codes, "type_id").select("type_id", "alert_count")
 
 
 # --- journeys ---------------------------------------------------------------------------
 
+# The fields of a journey that the route returns.
 JOURNEY_FIELDS = [
     "thing_id", "active_time", "avg_speed", "max_speed",
     "start_point", "end_point", "start_time", "end_time", "part", "path",
@@ -123,10 +134,54 @@ def journeys_page(
     group_id: int | None = None,
     type_id: int | None = None,
 ) -> DataFrame:
-    """Pages of journeys, newest first, equal ones once.
+    """Pages of journeys, newest first, equal ones once; see :func:`journeys_after` for reading
+    one page after the other. A page counts journeys; each gives one row per part of its path.
+    """
+    once = _distinct_journeys(journey, journey_dim, thing_dim, date_dim, thing_id, group_id, type_id)
+    wanted = materialise(page(once, _journey_order(), number, size, size))
+    return _with_paths(journey_dim, wanted).select(*JOURNEY_FIELDS)
+
+
+def journeys_after(
+    journey: DataFrame,
+    journey_dim: DataFrame,
+    thing_dim: DataFrame,
+    date_dim: DataFrame,
+    after: tuple[dt.datetime | None, int] | None = None,
+    size: int = 5,
+    thing_id: int | None = None,
+    group_id: int | None = None,
+    type_id: int | None = None,
+) -> DataFrame:
+    """The next ``size`` journeys behind ``after``, the (start_time, journey_id) of the last one seen.
+
+    The order is that of :func:`journeys_page`, journeys without a start last; ``journey_id`` is
+    among the fields. The bound on the time also prunes the dimension's scan, so a page costs
+    the journeys from there on, whatever came before it.
+    """
+    behind = F.lit(True)
+    if after is not None:
+        start, last = F.col("start_time"), after[1]
+        if after[0] is None:
+            journey_dim = journey_dim.filter(start.isNull())
+            behind = F.col("journey_id") > last
+        else:
+            seen = F.lit(after[0])
+            journey_dim = journey_dim.filter(start.isNull() | (start <= seen))
+            behind = start.isNull() | (start < seen) | ((start == seen) & (F.col("journey_id") > last))
+    once = _distinct_journeys(journey, journey_dim, thing_dim, date_dim, thing_id, group_id, type_id)
+    wanted = materialise(once.filter(behind).orderBy(*_journey_order()).limit(size))
+    return _with_paths(journey_dim, wanted).select("journey_id", *JOURNEY_FIELDS)
+
+
+def _journey_order() -> list[Column]:
+    return [F.col("start_time").desc(), F.col("journey_id")]
 
-    Journeys are compared by digests of their path, which combine before a shuffle; the
-    path itself is fetched only for the journeys on the page, one row per part.
+
+def _distinct_journeys(journey, journey_dim, thing_dim, date_dim, thing_id, group_id, type_id) -> DataFrame:
+    """Equal journeys once, without their paths.
+
+    Journeys are compared by digests of their path, which combine before a shuffle.
     """
     ends = ["start_point", "end_point", "start_time", "end_time"]
     digests = ["_digest1", "_digest2"]
@@ -137,15 +192,14 @@ def journeys_page(
     rows = _journeys(journey, compared, thing_dim, date_dim, thing_id, group_id, type_id)
     shown = [c for c in JOURNEY_FIELDS if c not in ("part", "path")]
     once = rows.groupBy("year", *digests, *shown).agg(F.min("journey_id").alias("journey_id"))
-    order = [F.col("start_time").desc(), F.col("journey_id")]
-    wanted = materialise(page(once, order, number, size, size).select("journey_id", *shown))
-    # A page holds ``size`` rows, so it is broadcast and the dimension is not shuffled.
-    return (
-        journey_dim.select("journey_id", "part", "path")
-        .join(F.broadcast(wanted), "journey_id")
-        .orderBy(*order, "part")
-        .select(*JOURNEY_FIELDS)
-    )
+    return once.select("journey_id", *shown)
+
+
+def _with_paths(journey_dim: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The journeys of a page with their paths, one row per part."""
+    # A page holds few rows, so it is broadcast and the dimension is not shuffled.
+    paths = journey_dim.select("journey_id", "part", "path")
+    return paths.join(F.broadcast(wanted), "journey_id").orderBy(*_journey_order(), "part")
 
 
 def journey_count(
@@ -171,6 +225,7 @@ def active_count(live_state: DataFrame) -> DataFrame:
 
 def live_latest(trace: DataFrame, thing_id: int | None = None) -> DataFrame:
     """Newest trace row, of one vehicle or of each."""
+    # The fields that the route returns.
     columns = [
         "thing_id", "trace_date", "trace_id", "engine_status", "fuel_liters", "fuel_percent",
         "latitude", "longitude", "speed", "oil_value", "battery",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from roadspan.operators import journeys, live, paths, serving
 from roadspan.operators.dims import alert_degree_dim
 from roadspan.operators.facts import alert_fact
+from roadspan.operators.scaling import materialise
 from roadspan.operators.timeline import Timeline, hot_cuts
 from roadspan.plans import kpi_queries, warehouse
 from roadspan.plans.fixtures import AS_OF, Inputs
@@ -87,7 +88,7 @@ def _speeds(i: Inputs) -> DataFrame:
     return rounded(run_of(i).speeds(), "avg_speed")
 
 
-@query("journey_path", "SELECT journey_id, CAST(0 AS BIGINT) AS part, n_points, path FROM jpaths")
+@query("journey_path", "SELECT journey_id, part, n_points, path FROM jpaths")
 def _paths(i: Inputs) -> DataFrame:
     return run_of(i, keep_rows=True).paths(DECIMALS).withColumnRenamed("path_id", "journey_id")
 
@@ -213,7 +214,7 @@ _things(
     "SELECT DISTINCT thing_id, thing_designation FROM thing_dim WHERE thing_designation LIKE '%00012%'",
     lambda d: serving.thing_search(d, "00012"),
 )
-_things("thing_types", "SELECT DISTINCT type_id, type_name FROM thing_dim", serving.thing_types)
+_things("thing_types", "SELECT DISTINCT type_id, thing_type_designation AS type_name FROM thing_dim", serving.thing_types)
 _things(
     "thing_groups",
     "SELECT DISTINCT group_id, group_name FROM thing_dim ORDER BY group_id, group_name LIMIT 10",
@@ -231,13 +232,13 @@ _things(
 )
 _things(
     "things_page",
-    """SELECT thing_designation AS name, thing_id, thing_matricule AS plate FROM thing_dim
+    """SELECT thing_designation AS name, thing_id, thing_plate AS plate FROM thing_dim
     ORDER BY thing_id LIMIT 15 OFFSET 10""",
     lambda d: serving.things_page(d, number=2),
 )
 _things(
     "things_brief",
-    "SELECT thing_designation AS name, thing_id, thing_matricule AS plate FROM thing_dim",
+    "SELECT thing_designation AS name, thing_id, thing_plate AS plate FROM thing_dim",
     serving.things_brief,
 )
 
@@ -273,38 +274,81 @@ def _fuel_total(i: Inputs) -> DataFrame:
     return serving.fuel_total(kpi_queries.vehicle_fact(i), warehouse.thing_dim(i))
 
 
-@query(
-    "fuel_total_for_group",
-    """SELECT CAST(floor(SUM(fuel)) AS BIGINT) AS fuel_consumption FROM vehicle_fuel v
-    JOIN thing_dim t ON v.thing_id = t.thing_id WHERE group_id = 3""",
-)
-def _fuel_total_group(i: Inputs) -> DataFrame:
-    return serving.fuel_total(kpi_queries.vehicle_fact(i), warehouse.thing_dim(i), group_id=3)
+def _fuel_total_for(kind: str, value: int) -> None:
+    register(
+        f"fuel_total_for_{kind}",
+        lambda i: serving.fuel_total(
+            kpi_queries.vehicle_fact(i), warehouse.thing_dim(i), **{f"{kind}_id": value}
+        ),
+        f"""SELECT CAST(floor(SUM(fuel)) AS BIGINT) AS fuel_consumption FROM vehicle_fuel v
+        JOIN thing_dim t ON v.thing_id = t.thing_id WHERE t.{kind}_id = {value}""",
+    )
 
 
-@query(
-    "journeys_page",
-    f"""SELECT f.thing_id, {r6('f.active_time', 'active_time')}, {r6('f.avg_speed', 'avg_speed')},
-    f.max_speed, start_point, end_point, start_time, end_time, part, path
-    FROM jfact f JOIN jdim m ON f.journey_id = m.journey_id JOIN thing_dim t ON f.thing_id = t.thing_id
-    ORDER BY start_time DESC, f.journey_id LIMIT 5""",
-)
-def _journeys_page(i: Inputs) -> DataFrame:
+for _kind, _value in (("thing", 7), ("group", 3), ("type", 2)):
+    _fuel_total_for(_kind, _value)
+
+
+def page_sql(first: int, condition: str = "", also: str = "") -> str:
+    return f"""SELECT {also}f.thing_id, {r6('f.active_time', 'active_time')},
+    {r6('f.avg_speed', 'avg_speed')}, f.max_speed, start_point, end_point, start_time, end_time, part, path
+    FROM jfact f JOIN jdim m ON f.journey_id = m.journey_id WHERE f.journey_id IN (
+    SELECT f.journey_id FROM jfact f JOIN thing_dim t ON f.thing_id = t.thing_id
+    JOIN jclosed c ON f.journey_id = c.journey_id{condition}
+    ORDER BY c.trace_date DESC, f.journey_id LIMIT 5 OFFSET {first})"""
+
+
+def journey_tables(i: Inputs) -> list[DataFrame]:
+    """Fact and dimensions as the pages of journeys take them."""
     run = run_of(i, keep_rows=True)
-    dim = run.dim(i.gazetteer, DECIMALS)
-    page = serving.journeys_page(run.fact(), dim, warehouse.thing_dim(i), warehouse.date_dim(i))
-    return rounded(page, "active_time", "avg_speed")
+    return [run.fact(), run.dim(i.gazetteer, DECIMALS), warehouse.thing_dim(i), warehouse.date_dim(i)]
 
 
-@query(
-    "journey_count",
-    """SELECT d.year, COUNT(f.journey_id) AS journey_count FROM jfact f
-    JOIN thing_dim t ON f.thing_id = t.thing_id JOIN date_dim d ON f.date_id = d.date_id
-    GROUP BY d.year""",
-)
-def _journey_count(i: Inputs) -> DataFrame:
-    run = run_of(i)
-    return serving.journey_count(run.fact(), run.closed, warehouse.thing_dim(i), warehouse.date_dim(i))
+def _journey_page(name: str, condition: str = "", **choice: int) -> None:
+    register(
+        name,
+        lambda i: rounded(serving.journeys_page(*journey_tables(i), **choice), "active_time", "avg_speed"),
+        page_sql(0, condition),
+    )
+
+
+_journey_page("journeys_page")
+_journey_page("journeys_page_for_thing", " WHERE f.thing_id = 7", thing_id=7)
+_journey_page("journeys_page_for_group", " WHERE t.group_id = 3", group_id=3)
+_journey_page("journeys_page_for_type", " WHERE t.type_id = 2", type_id=2)
+
+
+@query("journeys_after", page_sql(5, also="f.journey_id, "))
+def _journeys_after(i: Inputs) -> DataFrame:
+    """The second page, reached from the last journey of the first one."""
+    fact, dim, *others = journey_tables(i)
+    tables = [materialise(fact), materialise(dim), *others]
+    first = serving.journeys_after(*tables).select("start_time", "journey_id").distinct()
+    # Five rows at most.
+    last = first.orderBy(F.col("start_time"), F.col("journey_id").desc()).first()
+    return rounded(serving.journeys_after(*tables, after=last and tuple(last)), "active_time", "avg_speed")
+
+
+def _journey_count(name: str, condition: str = "", **choice: int) -> None:
+    def build(i: Inputs) -> DataFrame:
+        run = run_of(i)
+        return serving.journey_count(
+            run.fact(), run.closed, warehouse.thing_dim(i), warehouse.date_dim(i), **choice
+        )
+
+    register(
+        name,
+        build,
+        f"""SELECT d.year, COUNT(f.journey_id) AS journey_count FROM jfact f
+        JOIN thing_dim t ON f.thing_id = t.thing_id JOIN date_dim d ON f.date_id = d.date_id{condition}
+        GROUP BY d.year""",
+    )
+
+
+_journey_count("journey_count")
+_journey_count("journey_count_for_thing", " WHERE f.thing_id = 7", thing_id=7)
+_journey_count("journey_count_for_group", " WHERE t.group_id = 3", group_id=3)
+_journey_count("journey_count_for_type", " WHERE t.type_id = 2", type_id=2)
 
 
 # --- live state -----------------------------------------------------------------------------
@@ -359,12 +403,16 @@ def _live_vehicles(i: Inputs) -> DataFrame:
     return rounded(serving.live_vehicles(live_state(i)), "avg_speed")
 
 
-@query(
-    "live_vehicles_for_group",
-    f"SELECT {LIVE_SQL}, thing_name FROM {LIVE_VEHICLE_SQL} WHERE group_id = 3",
-)
-def _live_vehicles_group(i: Inputs) -> DataFrame:
-    return rounded(serving.live_vehicles(live_state(i), group_id=3), "avg_speed")
+def _live_vehicles_for(kind: str, value: int) -> None:
+    register(
+        f"live_vehicles_for_{kind}",
+        lambda i: rounded(serving.live_vehicles(live_state(i), **{f"{kind}_id": value}), "avg_speed"),
+        f"SELECT {LIVE_SQL}, thing_name FROM {LIVE_VEHICLE_SQL} WHERE {kind}_id = {value}",
+    )
+
+
+for _kind, _value in (("thing", 7), ("group", 3), ("type", 2)):
+    _live_vehicles_for(_kind, _value)
 
 
 @query(

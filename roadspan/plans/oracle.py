@@ -75,9 +75,10 @@ CTES |= {
 SELECT CAST(row_number() OVER (ORDER BY d) AS INT) AS date_id, {date_attributes('d', True)}
 FROM (SELECT DISTINCT date_insertion_day AS d FROM trace_week)""",
     "thing_dim": """
-SELECT t.thing_id, thing_designation, thing_matricule, thing_serial_number, entreprise_id,
-  t.thing_group_id AS group_id, thing_group_designation AS group_name,
-  t.thing_type_id AS type_id, thing_type_designation AS type_name, thing_marque_id AS marque_id
+SELECT t.thing_id, thing_type_designation, thing_designation, thing_matricule AS thing_plate,
+  thing_serial_number AS thing_serial, CAST(entreprise_id AS BIGINT) AS company_id,
+  CAST(NULL AS VARCHAR) AS company_name, CAST(t.thing_group_id AS BIGINT) AS group_id,
+  t.thing_type_id AS type_id, thing_marque_id AS thing_mark, thing_group_designation AS group_name
 FROM thing t JOIN thing_type y ON t.thing_type_id = y.thing_type_id
 JOIN thing_group g ON t.thing_group_id = g.thing_group_id""",
     "steps": previous_rows("trace_week"),
@@ -235,9 +236,9 @@ FROM jedges WHERE rise""",
 SELECT j.journey_id, r.pos - j.pos AS seq, r.latitude, r.longitude
 FROM jclosed j JOIN jrows r ON j.thing_id = r.thing_id AND r.pos BETWEEN j.pos AND j.end_pos""",
     "jpaths": """
-SELECT journey_id, CAST(count(*) AS INT) AS n_points,
+SELECT journey_id, CAST(seq // 512 AS BIGINT) AS part, CAST(count(*) AS INT) AS n_points,
   string_agg(printf('%.6f,%.6f', latitude, longitude), ';' ORDER BY seq) AS path
-FROM jpoints GROUP BY journey_id""",
+FROM jpoints GROUP BY ALL""",
     "jspeeds": """
 SELECT j.journey_id, avg(CAST(t.speed AS DOUBLE)) AS avg_speed, CAST(max(t.speed) AS DOUBLE) AS max_speed
 FROM jclosed j JOIN trace_week t ON j.thing_id = t.thing_id
@@ -245,7 +246,8 @@ FROM jclosed j JOIN trace_week t ON j.thing_id = t.thing_id
     "jdim": f"""
 SELECT j.journey_id, {place_name("j.latitude", "j.longitude")} AS start_point,
   {place_name("j.end_latitude", "j.end_longitude")} AS end_point,
-  j.trace_date AS start_time, j.end_time, CAST(0 AS BIGINT) AS part, p.path, p.n_points
+  j.trace_date AS start_time, j.end_time, p.part, p.path,
+  sum(p.n_points) OVER (PARTITION BY j.journey_id) AS n_points
 FROM jclosed j JOIN jpaths p ON j.journey_id = p.journey_id""",
     "jfact": """
 SELECT j.journey_id, j.thing_id, j.end_journey - j.journey AS traveled_distance,

@@ -14,7 +14,7 @@ from roadspan.plans.fixtures import AS_OF, VIEWS, Inputs
 from roadspan.plans.oracle import r6
 from roadspan.plans.registry import query, rounded
 from roadspan.sources.tables import KeyedTable
-from roadspan.streaming import decode, jobs
+from roadspan.streaming import jobs
 
 MESSAGE_FIELDS = [
     "trace_id", "thing_id", "trace_date", "longitude", "latitude", "speed", "engine_status",
@@ -42,14 +42,18 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
     return alerts.select(F.translate(F.to_json(fields), '"', "'").alias("value"))
 
 
-def streamed(i: Inputs, view: str) -> DataFrame:
-    """A view over the events file, read as a stream."""
-    events = (
+def streamed_events(i: Inputs) -> DataFrame:
+    """The events file, read as a stream."""
+    return (
         i.spark.readStream.schema(i.events.schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(i.sf_dir)
     )
-    return i.spark.sql(VIEWS[view], events=events)
+
+
+def streamed(i: Inputs, view: str) -> DataFrame:
+    """A view over the events file, read as a stream."""
+    return i.spark.sql(VIEWS[view], events=streamed_events(i))
 
 
 def run_folder(i: Inputs, name: str) -> str:
@@ -70,13 +74,15 @@ def _decode(i: Inputs) -> DataFrame:
     "SELECT concat('iotevents-0-', CAST(event_id AS VARCHAR)) AS id, props AS text FROM events",
 )
 def _landing(i: Inputs) -> DataFrame:
-    messages = i.events.select(
+    messages = streamed_events(i).select(
         F.lit("iotevents").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("props").alias("value"),
     )
-    return decode.raw_stream_landing(messages)
+    folder = run_folder(i, "landing")
+    jobs.landing_job(messages, f"{folder}/texts", f"{folder}/checkpoint", every=None).awaitTermination()
+    return i.spark.read.schema("id STRING, text STRING").parquet(f"{folder}/texts")
 
 
 STATE_DOUBLES = ["avg_speed", "max_speed", "fuel", "traveled_distance", "km_after_last_maintenance"]

@@ -91,10 +91,10 @@ def _incremental(i: Inputs) -> DataFrame:
     )
 
 
-@query("load_if_empty", "SELECT alert_degre_id, alert_degre_name FROM alert_degre")
+@query("load_if_empty", "SELECT alert_degre_id AS alert_degree_id, alert_degre_name AS alert_degree FROM alert_degre")
 def _load_if_empty(i: Inputs) -> DataFrame:
     dim = dims.alert_degree_dim(i.alert_degre)
-    return loading.load_if_empty(dim, dim.filter("alert_degre_id IS NULL"))
+    return loading.load_if_empty(dim, dim.filter("alert_degree_id IS NULL"))
 
 
 @query(
@@ -138,7 +138,7 @@ def _date_attributes(i: Inputs) -> DataFrame:
     )
 
 
-@query("alert_degree_dim", "SELECT alert_degre_id, alert_degre_name FROM alert_degre")
+@query("alert_degree_dim", "SELECT alert_degre_id AS alert_degree_id, alert_degre_name AS alert_degree FROM alert_degre")
 def _alert_degree_dim(i: Inputs) -> DataFrame:
     return dims.alert_degree_dim(i.alert_degre)
 
@@ -148,7 +148,11 @@ def _event_dim(i: Inputs) -> DataFrame:
     return dims.event_dim(i.event)
 
 
-@query("user_dim", "SELECT id AS user_id, name AS user_name FROM users")
+@query(
+    "user_dim",
+    """SELECT id AS user_id, name AS user_name, CAST(NULL AS BIGINT) AS company_id,
+    CAST(NULL AS VARCHAR) AS company_name FROM users""",
+)
 def _user_dim(i: Inputs) -> DataFrame:
     return dims.user_dim(i.users)
 

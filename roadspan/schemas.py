@@ -1,9 +1,11 @@
 """Declared schemas: warehouse tables, live tables and stream messages.
 
 The column lists are fixed values, in the order in which the tables a user already has declare
-them. Where a table here holds more (further keys, coordinates, the blend of a state), these
-columns come last. Live numbers that were declared as whole ones are doubles and live times
-timestamps, so that nothing is cut off.
+them. Where a table here holds more (further keys, fuel, coordinates, the blend of a state), these
+columns come last; serial keys that a database fills by itself are left out, and measures whose
+declared names are misspelt are spelt right. Live numbers that were declared as whole ones are
+doubles and live times timestamps, so that nothing is cut off. Long paths have several rows in
+``journey_dim``, so its key is (journey_id, part).
 """
 
 from __future__ import annotations
@@ -18,25 +20,25 @@ WAREHOUSE = {
     ),
     "location_dim": "location_id INT, municipality STRING, province STRING",
     "thing_dim": (
-        "thing_id INT, thing_designation STRING, thing_matricule STRING, "
-        "thing_serial_number STRING, entreprise_id INT, group_id INT, group_name STRING, "
-        "type_id INT, type_name STRING, marque_id STRING"
+        "thing_id INT, thing_type_designation STRING, thing_designation STRING, thing_plate STRING, "
+        "thing_serial STRING, company_id BIGINT, company_name STRING, group_id BIGINT, type_id INT, "
+        "thing_mark STRING, group_name STRING"
     ),
     "vehicle_performance": (
         "idle_time DOUBLE, active_time DOUBLE, traveled_distance DOUBLE, avg_speed DOUBLE, "
-        "max_speed DOUBLE, fuel DOUBLE, date_id INT, thing_id INT"
+        "max_speed DOUBLE, date_id INT, thing_id INT, fuel DOUBLE"
     ),
     "journey_dim": (
         "journey_id BIGINT, start_point STRING, end_point STRING, start_time TIMESTAMP, "
-        "end_time TIMESTAMP, path STRING"
+        "end_time TIMESTAMP, path STRING, part BIGINT"
     ),
     "journey": (
         "journey_id BIGINT, thing_id INT, traveled_distance DOUBLE, idle_time DOUBLE, "
         "active_time DOUBLE, avg_speed DOUBLE, max_speed DOUBLE, date_id INT"
     ),
-    "alert_deg_dim": "alert_degre_id INT, alert_degre_name STRING",
+    "alert_deg_dim": "alert_degree_id INT, alert_degree STRING",
     "event_dim": "event_id INT, event_designation STRING",
-    "user_dim": "user_id INT, user_name STRING",
+    "user_dim": "user_id INT, user_name STRING, company_id BIGINT, company_name STRING",
     "alert_fact": (
         "location_id INT, date_id INT, type_id INT, user_id INT, event_id INT, "
         "alert_count BIGINT, thing_id INT"

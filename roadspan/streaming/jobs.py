@@ -1,8 +1,9 @@
-"""The streaming jobs: positions, vehicle state, alerts, and messages that do not parse.
+"""The streaming jobs: positions, vehicle state, alerts, raw texts, and messages that do not parse.
 
 Each takes a stream of messages from any source, a folder for its checkpoint (which
 is mandatory, so that a restart loses nothing) and the table it maintains. Sinks are
-repeatable: a batch that runs again replaces what it wrote.
+repeatable: a batch that runs again replaces what it wrote, or changes nothing once a keyed
+table has committed it.
 """
 
 from __future__ import annotations
@@ -40,13 +41,17 @@ def positions(messages: DataFrame) -> DataFrame:
     return decode.with_event_time(rows, "trace_date")
 
 
+def _trigger(every: str | None) -> dict:
+    """Without ``every``, take what is there and stop."""
+    return {"availableNow": True} if every is None else {"processingTime": every}
+
+
 def _start(stream: DataFrame, sink, checkpoint: str, mode: str, every: str | None) -> StreamingQuery:
-    """Run ``sink`` per micro-batch; without ``every``, take what is there and stop."""
-    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    """Run ``sink`` per micro-batch."""
     return (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**_trigger(every))
         .foreachBatch(sink)
         .start()
     )
@@ -99,8 +104,7 @@ def vehicle_state_job(
     """Maintain one live row per key of the table, (thing_id) or (thing_id, full_date).
 
     The fold is resumed from the states of the batches before, which are a keyed table of their
-    own beside the live one; a batch that runs again starts from the same states and replaces
-    what it wrote. With a fitted model, rows get a predicted remaining life; the model is held
+    own beside the live one; a batch that runs again starts from the same states. With a fitted model, rows get a predicted remaining life; the model is held
     by the job, not loaded per row.
     """
     schema, keys = schemas.live_schema("vehicle_performance"), table.keys
@@ -160,6 +164,22 @@ def alert_job(
     return _start(counted, sink, checkpoint, "update", every)
 
 
+def landing_job(
+    messages: DataFrame, path: str, checkpoint: str, every: str | None = POSITION_TRIGGER
+) -> StreamingQuery:
+    """Keep each message as (id, text) in Parquet files. A batch's files count once they are all
+    written, so a restart neither loses nor doubles a message."""
+    return (
+        decode.raw_stream_landing(messages)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
 def rejects_job(
     messages: DataFrame,
     ddl: str,

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from roadspan.operators import journeys, paths
 
@@ -147,3 +148,29 @@ def test_path_parts_of_a_journey(spark, slicing):
         "13.0,20.0;14.0,20.0;15.0,20.0",
         "16.0,20.0;17.0,20.0",
     ]
+
+
+def test_long_journeys_have_one_grain(spark):
+    """The dimension's key is (journey_id, part) at every length; emptiness is that of the journey."""
+    lengths = {1: 2, 2: 512, 3: 513, 4: 2_000}
+    points = spark.createDataFrame(
+        [(j, k, 36.0 + k / 1000, 3.0) for j, n in lengths.items() for k in range(n)],
+        "path_id LONG, seq LONG, latitude DOUBLE, longitude DOUBLE",
+    )
+    texts = paths.path_text(points, 3)
+    parts = {(r.path_id, r.part): r.n_points for r in texts.collect()}
+    assert parts == {(1, 0): 2, (2, 0): 512, (3, 0): 512, (3, 1): 1, **{(4, p): min(512, 2_000 - 512 * p) for p in range(4)}}
+    closed = spark.createDataFrame([(j, START, START) for j in lengths], "journey_id LONG, start_time TIMESTAMP, end_time TIMESTAMP")
+    ends = spark.createDataFrame([(j, "a", "b") for j in lengths], "journey_id LONG, start_point STRING, end_point STRING")
+    dim = journeys.journey_dim(closed, ends, texts)
+    assert dim.count() == dim.select("journey_id", "part").distinct().count() == len(parts)
+    # Only the last part of journey 3 is empty, journey 1 is empty as a whole.
+    emptied = dim.withColumn("path", F.expr("CASE WHEN journey_id = 1 OR (journey_id = 3 AND part = 1) THEN '' ELSE path END"))
+    left = journeys.delete_empty_paths(emptied)
+    assert {(r.journey_id, r.part) for r in left.collect()} == {k for k in parts if k[0] != 1}
+    fact = closed.select("journey_id")
+    assert {r.journey_id for r in journeys.delete_orphan_journeys(fact, left).collect()} == {2, 3, 4}
+    # Cleaning keeps steps of 111 metres and lays the parts out anew.
+    cleaned = paths.path_clean(texts.select("path_id", "part", "path"), 3).collect()
+    kept = {j: ";".join(r.path for r in sorted((r for r in cleaned if r.path_id == j), key=lambda r: r.part)) for j in lengths}
+    assert kept == {j: ";".join(f"{36.0 + k / 1000:.3f},3.000" for k in range(n)) for j, n in lengths.items()}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadspan import schemas
-from roadspan.operators import dims, facts, features, kpi, loading, serving
+from roadspan.operators import dims, facts, features, kpi, loading, scaling, serving
 from roadspan.operators import places
 from roadspan.operators.places import place_lookup
 from roadspan.plans.fixtures import Inputs
@@ -132,6 +132,36 @@ def test_upserts_over_many_batches(spark, tmp_path):
     assert folders == ["batch_id=0", "batch_id=3", "batch_id=6"]
 
 
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ["k"], ["t"], full_every=2)
+    schema = "k INT, t INT, v INT"
+    kind = spark.createDataFrame([], schema).schema
+    assert table.version(spark) is None and table.read(spark, kind).count() == 0
+    for n in range(2):
+        table.upsert(spark.createDataFrame([(1, n, n)], schema), n)
+    held = table.read(spark, kind)
+    # A batch that broke off before its commit: its folders are there, the table does not have them.
+    for kept in ("changes", "full"):
+        spark.createDataFrame([(1, 9, 9)], schema).write.parquet(f"{table.path}/{kept}/batch_id=2")
+    assert table.version(spark) == 1 and [r.v for r in table.read(spark, kind).collect()] == [1]
+    table.upsert(spark.createDataFrame([(1, 2, 2)], schema), 2)
+    table.upsert(spark.createDataFrame([(1, 3, 33)], schema), 2)  # committed already
+    assert [r.v for r in held.collect()] == [1]
+    assert table.version(spark) == 2 and [r.v for r in table.read(spark, kind).collect()] == [2]
+
+
+def test_old_versions_go(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ["k"], ["t"], full_every=3, keep_hours=0)
+    schema = "k INT, t INT, v INT"
+    kind = spark.createDataFrame([], schema).schema
+    for n in range(13):
+        table.upsert(spark.createDataFrame([(n % 2, n, n)], schema), n)
+        assert len(list((tmp_path / "t" / "full").iterdir())) <= 2
+        assert len(list((tmp_path / "t" / "changes").iterdir())) <= 7
+        assert {r.k: r.v for r in table.read(spark, kind).collect()} == {m % 2: m for m in (n - 1, n) if m >= 0}
+    assert {r.k: r.v for r in table.read(spark, kind, before=12).collect()} == {1: 11, 0: 10}
+
+
 def test_table_replace_append_insert(spark, tmp_path):
     path, schema = str(tmp_path / "dim"), schemas.warehouse_schema("event_dim")
     tables.insert_rows(spark, [(1, "speeding")], schema, path)
@@ -314,12 +344,57 @@ def test_kpi_needs_its_period(kpi_frames):
 
 def test_pages_overlap_by_five(spark):
     things = spark.createDataFrame(
-        [(k, f"n{k}", f"p{k}") for k in range(40)], "thing_id INT, thing_designation STRING, thing_matricule STRING"
+        [(k, f"n{k}", f"p{k}") for k in range(40)], "thing_id INT, thing_designation STRING, thing_plate STRING"
     )
     page = lambda n: [r.thing_id for r in serving.things_page(things, n).collect()]
     assert page(1) == list(range(15)) and page(2) == list(range(10, 25))
 
 
+@pytest.mark.parametrize("near", [serving.NEAR_ROWS, 0])
+def test_journeys_by_number_and_one_after_the_other(spark, monkeypatch, near):
+    monkeypatch.setattr(serving, "NEAR_ROWS", near)
+    monkeypatch.setattr(scaling, "SMALL_ROWS", near)
+    start = lambda k: None if k > 20 else START + dt.timedelta(minutes=k // 3)
+    fact = [(k, 1 + k % 4, 5.0, 50.0, 90.0, 1) for k in range(24)]
+    dim = [(k, "a", "b", start(k), START, part, f"p{k}-{part}") for k in range(24) for part in range(1 + k % 2)]
+    # An equal journey under another id is shown once.
+    fact.append((90, 1 + 8 % 4, 5.0, 50.0, 90.0, 1))
+    dim.append((90, "a", "b", start(8), START, 0, "p8-0"))
+    frames = [
+        spark.createDataFrame(fact, "journey_id LONG, thing_id INT, active_time DOUBLE, avg_speed DOUBLE, max_speed DOUBLE, date_id INT"),
+        spark.createDataFrame(dim, "journey_id LONG, start_point STRING, end_point STRING, start_time TIMESTAMP, end_time TIMESTAMP, part LONG, path STRING"),
+        spark.createDataFrame([(k, k % 2, 1) for k in range(1, 5)], "thing_id INT, group_id LONG, type_id INT"),
+        spark.createDataFrame([(1, 2024)], "date_id INT, year INT"),
+    ]
+    known = sorted(range(24), key=lambda k: (start(k) is None, -(k // 3) if start(k) else 0, k))
+    expected = [f"p{k}-{part}" for k in known for part in range(1 + k % 2)]
+    numbered = [[r.path for r in serving.journeys_page(*frames, number=n, size=7).collect()] for n in range(1, 6)]
+    assert sum(numbered, []) == expected and numbered[4] == []
+    after, walked = None, []
+    for n in range(4):
+        rows = serving.journeys_after(*frames, after=after, size=7).collect()
+        assert [r.path for r in rows] == numbered[n]
+        after = (rows[-1].start_time, rows[-1].journey_id)
+        walked += rows
+    assert serving.journeys_after(*frames, after=after, size=7).count() == 0
+    assert {r.journey_id for r in serving.journeys_after(*frames, size=50, group_id=1).collect()} == set(range(0, 24, 2))
+
+
+def test_thing_and_user_dim_have_the_declared_columns(spark):
+    thing = spark.createDataFrame(
+        [(1, "car", "P1", "S1", 5, 2, 3, "mark", "firm"), (2, "van", "P2", "S2", 5, 2, 3, None, "firm")],
+        "thing_id INT, thing_designation STRING, thing_matricule STRING, thing_serial_number STRING, entreprise_id INT,"
+        "thing_group_id INT, thing_type_id INT, thing_marque_id STRING, company_name STRING",
+    )
+    types = spark.createDataFrame([(3, "truck")], "thing_type_id INT, thing_type_designation STRING")
+    groups = spark.createDataFrame([(2, "north")], "thing_group_id INT, thing_group_designation STRING")
+    got = dims.thing_dim(thing, types, groups, after_id=1)
+    assert got.schema == schemas.warehouse_schema("thing_dim")
+    assert [tuple(r) for r in got.collect()] == [(2, "truck", "van", "P2", "S2", 5, "firm", 2, 3, None, "north")]
+    users = dims.user_dim(spark.createDataFrame([(1, "ann")], "id INT, name STRING"))
+    assert users.schema == schemas.warehouse_schema("user_dim") and tuple(users.first()) == (1, "ann", None, None)
+
+
 def test_maintenance(spark):
     rows = spark.createDataFrame(
         [(1, 5, "car5", "Soon", START), (2, 6, "car6", "done", START), (3, 7, "car7", None, START)],
