@@ -36,6 +36,8 @@ CASES = 4
 PIECE_CHARS = 2_000_000
 # Characters that one call of the tokenizer gets; it takes some hundred bytes for each.
 CALL_CHARS = 200_000
+# Words whose ids a task keeps from piece to piece, and the longest of them; beyond, it starts anew.
+KEPT_WORDS, KEPT_CHARS = 300_000, 100
 SEPARATOR = "\x02"
 
 # Four cumulative chances (case 0, 0 or 1, 0 to 2, any) are 16-bit fields of one number, so that
@@ -249,7 +251,7 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
 class Tokens:
     """Ids of texts by a tokenizer file; words between white space do not touch each other.
 
-    The words of a batch are numbered by their distinct values, which are tokenised once.
+    The words of a batch are numbered by their distinct values; those not met before are tokenised.
     """
 
     def __init__(self, path: str):
@@ -258,6 +260,11 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self._batch([SEPARATOR])[0]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.sizes = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
 
     def _batch(self, texts: list[str]) -> list[np.ndarray]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -289,6 +296,27 @@ class Tokens:
         each = self._batch(words)
         return np.concatenate(each), np.array([len(x) for x in each])
 
+    def _looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words, where each word's begin, and how many it has."""
+        if len(self.known) > KEPT_WORDS:
+            self._forget()
+        kept, place = len(self.known), list(map(self.known.get, words))
+        new = [w for w, at in zip(words, place) if at is None]
+        # Long words are not kept; they come last, so that the kept ones are numbered in a row.
+        new.sort(key=lambda w: len(w) > KEPT_CHARS)
+        flat, sizes = self.flat, self.sizes
+        if new:
+            found, lengths = self._encode(new)
+            flat, sizes = np.concatenate([flat, found]), np.concatenate([sizes, lengths])
+            number = dict(zip(new, range(kept, kept + len(new))))
+            place = [number[w] if at is None else at for w, at in zip(words, place)]
+            short = sum(len(w) <= KEPT_CHARS for w in new)
+            self.known.update(zip(new[:short], range(kept, kept + short)))
+            self.sizes = sizes[: kept + short].copy()
+            self.flat = flat[: int(self.sizes.sum())].copy()
+        at = np.array(place, dtype=np.int64)
+        return flat, (np.cumsum(sizes) - sizes)[at], sizes[at]
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
             return []
@@ -296,9 +324,9 @@ class Tokens:
         lists = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
         coded = lists.flatten().dictionary_encode()
         number = coded.indices.to_numpy(zero_copy_only=False)
-        flat, sizes = self._encode(coded.dictionary.to_pylist())
+        flat, starts, sizes = self._looked_up(coded.dictionary.to_pylist())
         # Where each word's ids begin, in the distinct words and in the texts.
-        source, length = (np.cumsum(sizes) - sizes)[number], sizes[number]
+        source, length = starts[number], sizes[number]
         ends = np.cumsum(length)
         ids = flat[np.repeat(source - (ends - length), length) + np.arange(ends[-1])]
         last_word = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))

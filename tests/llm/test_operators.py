@@ -537,3 +537,17 @@ def test_queries_match_sql(spark):
         key = [c for c in ("doc_id", "item_id", "vec_id") if c in found]
         found, want = (x.sort_values(key).reset_index(drop=True) for x in (found, want))
         assert len(found) == len(want) and all((found[c] == want[c]).all() for c in found)
+
+
+def test_words_kept_from_piece_to_piece_give_the_same_ids(monkeypatch):
+    rng = random.Random(3)
+    pool = ["".join(rng.choices("abcdeé中\U0001f600\x02", k=rng.randrange(1, 9))) for _ in range(60)] + ["x" * 400, ""]
+    texts = [" ".join(rng.choices(pool, k=rng.randrange(0, 20))) for _ in range(200)]
+    path = vocab.path("word_bpe_49k.json")
+    plain = [list(x) for x in context_mixing.Tokens(path)(texts)]
+    assert plain == [x.ids for x in context_mixing.Tokens(path).tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    for most in (0, 25, 1_000):
+        monkeypatch.setattr(context_mixing, "KEPT_WORDS", most)
+        tokens = context_mixing.Tokens(path)
+        again = [list(x) for k in range(0, 200, 7) for x in tokens(texts[k : k + 7])]
+        assert again == plain and len(tokens.known) <= most + len(pool) and "x" * 400 not in tokens.known
