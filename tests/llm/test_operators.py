@@ -216,6 +216,49 @@ def test_near_copies_follow_chains_of_edits(spark):
     assert sorted(r[0] for r in simhash.near_copies(frame).collect()) == want
 
 
+def test_near_dedup_follows_simhash(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    bases = [[word() for _ in range(400)] for _ in range(4)]
+    # A long line over and over outweighs the rest: one fingerprint, but sets of five-word shingles far apart.
+    line = [word() for _ in range(31)]
+    texts = [line * 60 + [word() for _ in range(20)] for _ in range(6)]
+    frame = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate([*bases, *texts])], "doc_id LONG, text STRING"
+    )
+    groups = {r.id: r.component_id for r in simhash.near_groups(frame).collect()}
+    assert len(set(groups.values())) == 5
+    assert simhash.near_copies(frame).count() == 0
+    left = corpus_pipeline.near_dedup(spark, frame, SF)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(set(groups.values()))
+
+
+def test_near_dedup_joins_both_kinds_of_links(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    line = [word() for _ in range(31)]
+    far = line * 60 + [word() for _ in range(20)]
+    first = line * 60 + [word() for _ in range(200)]
+    # The third is alike to the second by shingles, which SimHash links to the first.
+    close = [*far[:-2], word(), word()]
+    frame = spark.createDataFrame(
+        [(9, " ".join(close)), (5, " ".join(far)), (5, " ".join(far)), (3, " ".join(first)), (None, " ".join(far)), (7, None), (8, "")],
+        "doc_id LONG, text STRING",
+    )
+    component = {r.id: r.component_id for r in simhash.near_groups(frame).collect()}
+    sets = five_word_sets([" ".join(t) for t in (far, first, close)])
+    alike = lambda a, b: len(a & b) / len(a | b) >= 0.8
+    found = {r.doc_id for r in simhash.drop_near_copies(frame).collect()}
+    want = {3, 5, 9}
+    if component[5] == 3:
+        want.discard(5)
+    if component[9] == component[5] or alike(sets[0], sets[2]):
+        want.discard(9)
+    assert component[5] == 3 and found == want | {None, 7}
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, 120), (120, 110), (7, 7)]
     found = {r.node: r.label for r in components(spark.createDataFrame(links, "a LONG, b LONG")).collect()}
