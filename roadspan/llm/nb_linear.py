@@ -109,12 +109,13 @@ def fit(
         share = 1 - 1e-6 if 1 in sizes else 1e-6
         return Model(np.zeros(1 << BITS, dtype=np.float32), float(np.log(share / (1 - share))))
 
-    # One row per hashed feature reaches the driver: their number is fixed.
+    # One row per hashed feature reaches the driver, as columns: their number is fixed.
     counts = (
         rows.mapInPandas(_counted, "feature int, other long, toxic long")
         .groupBy("feature")
         .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
-        .toPandas()
+        .toArrow()
+        .to_pandas()
     )
     p = (counts["toxic"] + SMOOTHING) / (sizes[1] + 2 * SMOOTHING)
     q = (counts["other"] + SMOOTHING) / (sizes[0] + 2 * SMOOTHING)

@@ -259,6 +259,31 @@ def test_near_dedup_joins_both_kinds_of_links(spark):
     assert component[5] == 3 and found == want | {None, 7}
 
 
+def test_pairs_that_share_common_shingles_only_do_not_meet(spark):
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    line = [word() for _ in range(30)]
+    texts = [" ".join([*line, *[word() for _ in range(10)]]) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id LONG, text STRING")
+    none = np.empty(0, dtype=np.uint64)
+    nodes = simhash._near_prints(rows, none, none.astype(np.int64))
+    open_rows = nodes.select("node", "n", "sketch", F.posexplode("sigs").alias("pos", "sig")).withColumn("label", F.col("node"))
+    counted = open_rows.join(open_rows.groupBy("sig").agg(F.count("*").alias("c")), "sig")
+    assert counted.agg(F.max("c")).first()[0] > 200
+    assert simhash._meetings(counted, 64).count() < 300
+
+
+def test_toxicity_and_shingle_counts_reach_the_driver_as_columns(spark, docs, monkeypatch):
+    def no_rows(self):
+        raise AssertionError("rows one by one in the driver")
+
+    monkeypatch.setattr(type(docs), "toPandas", no_rows)
+    model = nb_linear.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert len(model.weights) == 1 << nb_linear.BITS
+    shingles, counts = simhash._common(docs.select(F.col("doc_id").alias("id"), "text"))
+    assert len(shingles) == len(counts) and (np.diff(shingles.astype(object)) > 0).all()
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, 120), (120, 110), (7, 7)]
     found = {r.node: r.label for r in components(spark.createDataFrame(links, "a LONG, b LONG")).collect()}
