@@ -284,6 +284,20 @@ def test_toxicity_and_shingle_counts_reach_the_driver_as_columns(spark, docs, mo
     assert len(shingles) == len(counts) and (np.diff(shingles.astype(object)) > 0).all()
 
 
+def test_near_copies_of_long_texts_and_around_one_middle(spark):
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    long = [word() for _ in range(14_000)]
+    base = [word() for _ in range(150)]
+    # Copies with up to a tenth of the words changed are alike to the base, most are not to each other.
+    copies = [[*base[:at], *[word() for _ in range(11)], *base[at + 11 :]] for at in (rng.randrange(139) for _ in range(40))]
+    texts = [" ".join(t) for t in (long, [*long[:500], word(), *long[501:]], *copies, base)]
+    want, alike = slow_near_copies(texts)
+    assert len(want) == 41 and sum(j < 0.8 for (a, b), j in alike.items() if 2 <= a and b < 42) > 300
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    assert sorted(r[0] for r in simhash.near_copies(frame).collect()) == want
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, 120), (120, 110), (7, 7)]
     found = {r.node: r.label for r in components(spark.createDataFrame(links, "a LONG, b LONG")).collect()}
