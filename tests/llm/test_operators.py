@@ -25,6 +25,7 @@ from roadspan.llm import (
     simhash,
     spaced_seeds,
 )
+from roadspan.llm.common import Steps
 from roadspan.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -304,6 +305,38 @@ def test_components(spark):
     assert found == {k: 0 for k in range(51)} | {100: 100, 110: 100, 120: 100}
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    rounds, stored = [], Steps.stored
+    monkeypatch.setattr(Steps, "stored", lambda self, df, name: rounds.append(name) or stored(self, df, name))
+    for links, want in (
+        ([], {}),
+        ([(3, 1), (1, 5), (9, 8), (5, 1), (2, 2)], {1: 1, 3: 1, 5: 1, 8: 8, 9: 8}),
+    ):
+        found = components(spark.createDataFrame(links, "a LONG, b LONG")).collect()
+        assert {r.node: r.label for r in found} == want and len(found) == len(want)
+    assert rounds == ["round"] * 2
+    # Two smaller neighbours, or a smaller and a larger one, are no star.
+    for links in ([(3, 1), (3, 2)], [(1, 2), (2, 3)]):
+        found = components(spark.createDataFrame(links, "a LONG, b LONG")).collect()
+        assert sorted((r.node, r.label) for r in found) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_near_dedup_plans_few_jobs(spark):
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    bases = [[word() for _ in range(100)] for _ in range(8)]
+    edited = [[*b[:40], word(), *b[41:]] for b in bases]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(bases + edited)], "doc_id LONG, text STRING")
+    context = spark.sparkContext
+    context.setJobGroup("near-dedup-jobs", "near copies")
+    try:
+        left = sorted(r.doc_id for r in simhash.drop_near_copies(frame).collect())
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    # Each job leaves plans, threads and buffers in the driver.
+    assert left == list(range(8)) and len(context.statusTracker().getJobIdsForGroup("near-dedup-jobs")) < 120
+
+
 def test_masks_survive_two_substitutions():
     window = spaced_seeds.WINDOW
     for gone in itertools.combinations(range(window), 2):
