@@ -666,3 +666,65 @@ def test_words_kept_from_piece_to_piece_give_the_same_ids(monkeypatch):
         tokens = context_mixing.Tokens(path)
         again = [list(x) for k in range(0, 200, 7) for x in tokens(texts[k : k + 7])]
         assert again == plain and len(tokens.known) <= most + len(pool) and "x" * 400 not in tokens.known
+
+
+def test_simple_words_are_tokenised_by_their_units():
+    path = vocab.path("word_bpe_49k.json")
+    tokens = context_mixing.Tokens(path)
+    tokens(["Hello, hello HELLO! hello.", "Straße: STRASSE Été été, 1990"])
+    assert set(tokens.known) == set("hello , ! . straße : strasse été 1 9 0".split())
+    rng = random.Random(7)
+    letters = "abSTΣσςİıßẞÉéñǅŉdЙйº'’!<|>-0127½²_́̀ͅ\t\x02 中\U0001f600"
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(3_000)]
+    words += ["<|endoftext|>", "a<|startoftext|>B.", "<|endoftext|", "don't", "DON'T!'s", "", "퟿"]
+    words += [f"{a}{chr(c)}{b}" for c in range(1, 0x600) for a, b in (("", ""), ("a", "Z"), ("!", "."), ("7", "É"))]
+    want = tokens.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    for _ in range(2):  # the second time from what is kept
+        assert [list(x) for x in tokens(words)] == [x.ids for x in want]
+
+
+def test_a_tokenizer_with_other_steps_gets_whole_words(tmp_path):
+    import json
+
+    steps = json.load(open(vocab.path("word_bpe_49k.json"), encoding="utf-8"))
+    steps["normalizer"] = {"type": "NFC"}
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(steps), encoding="utf-8")
+    tokens = context_mixing.Tokens(str(path))
+    texts = ["Hello, hello HELLO!", "Été été", ""]
+    want = tokens.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert [list(x) for x in tokens(texts)] == [x.ids for x in want]
+    assert "Hello," in tokens.known
+
+
+def test_a_worker_keeps_its_tokenizer():
+    path = vocab.path("word_bpe_49k.json")
+    assert context_mixing._held_tokens(path) is context_mixing._held_tokens(path)
+
+
+def test_cases_are_foreseen_as_the_models_meet_them():
+    rng = np.random.default_rng(4)
+    ids = np.array([(rng.zipf(a, 500) % 700).astype(np.uint16) for a in np.linspace(1.1, 3, 300)])
+    cases, slots = context_mixing._foreseen(ids)
+    for lane in range(0, 300, 13):
+        one, two, zero, last, older = {}, {}, {}, np.uint32(0), np.uint32(0)
+        for t, x in enumerate(ids[lane]):
+            at_one, at_two = (int(s[0]) for s in context_mixing._slots(np.array([last]), np.array([older])))
+            tables = ((two, at_two), (one, at_one), (zero, int(x) & 255))
+            want = next((k for k, (table, at) in enumerate(tables) if table.get(at, 0) == x), 3)
+            assert (cases[t, lane], slots[t, lane]) == (want, at_two)
+            for table, at in tables:
+                table[at] = x
+            last, older = np.uint32(x), last
+
+
+def test_many_blocks_keep_their_ids_where_ranges_are_cut(monkeypatch):
+    rng = np.random.default_rng(6)
+    lengths = sorted(rng.integers(1, 400, 500), reverse=True)
+    blocks = [(rng.zipf(a, n) % 65536).astype(np.int32) for a, n in zip(rng.choice([1.05, 1.5, 5.0], 500), lengths)]
+    blocks[3][:] = 65535
+    for least in (context_mixing.LEAST_RANGE, np.uint64(1 << 31)):  # the wide one cuts in every second step
+        monkeypatch.setattr(context_mixing, "LEAST_RANGE", least)
+        coded = context_mixing.encode_blocks(blocks)
+        assert all((a == b).all() for a, b in zip(blocks, context_mixing.decode_blocks(coded)))
+        assert (context_mixing.decode_blocks(coded[100:140])[7] == blocks[107]).all()
